@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from areacast.fixed import CASE_SOURCES, UNKNOWN
 from areacast.operators.clean import parse_measures
@@ -46,8 +47,15 @@ OBS_MEASURES = ["rain", *SPEC.measures]
 STATUS_OF = {"dengue": "F", "chikungunya": "O", "zika": "P"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is taken from the file once and declared from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 8) -> DataFrame:
@@ -122,10 +130,11 @@ def with_area(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The area of a case is the nation of its customer; households do not tell it."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    named = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("n_name")).alias("area")
+    joined = rows.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return rows.join(named, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    area = F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("n_name"))
+    return joined.select(*[c for c in rows.columns if c != "o_custkey"], area.alias("area"))
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,11 +220,9 @@ def obs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax"
     )
-    places = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", "n_regionkey"
-    )
     daily = (
-        lineitem.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("n_regionkey", F.col("l_shipdate").cast("date").alias("d"))
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -346,23 +353,17 @@ form AS (
 
 def form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as one submitted form."""
-    places = (
-        table(spark, sf_dir, "supplier")
+    rows = (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "s_suppkey",
-            F.concat("n_name", F.lit(" - "), "r_name").alias("bairro_estacao"),
-            (1000 + 137 * F.col("n_nationkey")).alias("populacao"),
-        )
     )
-    return table(spark, sf_dir, "lineitem").join(
-        places, F.col("l_suppkey") == F.col("s_suppkey")
-    ).select(
+    return rows.select(
         "l_orderkey",
         "l_linenumber",
-        "bairro_estacao",
-        "populacao",
+        F.concat("n_name", F.lit(" - "), "r_name").alias("bairro_estacao"),
+        (1000 + 137 * F.col("n_nationkey")).alias("populacao"),
         F.col("l_shipdate").cast("date").alias("data"),
         F.col("l_discount").alias("precipitacao"),
         F.col("l_quantity").alias("temp_maxima"),

@@ -161,8 +161,7 @@ def headline_facts(
 ) -> DataFrame:
     """One row of key figures of an area-week base.
 
-    The base is first grouped by week, so the number of weeks and the peak week need no
-    second pass; areas are counted from the same partial aggregates.
+    Weeks and areas are grouped to one row each before they are counted.
     """
     weekly = base.groupBy(week).agg(F.sum(label).alias("_cases"))
     peak = weekly.agg(
@@ -172,7 +171,7 @@ def headline_facts(
             F.count(F.lit(1)).alias("weeks"),
         ).alias("peak")
     ).scalar()
-    areas = base.groupBy(area).agg().agg(F.count(F.lit(1)).alias("n")).scalar()
+    areas = base.select(area).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     facts = base.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max(label).alias("max_cases"),
