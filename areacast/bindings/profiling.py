@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, rounded, table
 from areacast.operators import aggregate, profile
+from areacast.sources.tables import written
 
 QUERIES = {}
 ORACLES = {}
@@ -128,8 +129,9 @@ ORACLES["describe_categorical"] = _union_sql(
 
 
 def headline_facts(spark, sf_dir):
+    base = written(roles.base(spark, sf_dir), "base")
     facts = profile.headline_facts(
-        roles.base(spark, sf_dir), "area", "week", "cases", "population", ["temp_max", "temp_min"]
+        base, "area", "week", "cases", "population", ["temp_max", "temp_min"]
     )
     figures = [c for c in facts.columns if c.startswith(("mean_", "std_"))]
     return rounded(facts, *figures, digits=6)

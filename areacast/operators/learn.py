@@ -122,7 +122,7 @@ def cv_report(model: CrossValidatorModel, rows: DataFrame) -> DataFrame:
         model.getEstimatorParamMaps(), model.avgMetrics, model.stdMetrics, strict=True
     ):
         shown = ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda i: i[0].name))
-        lines.append((shown, float(mean), 2 * float(std), mean == best))
+        lines.append((shown, float(mean), 2 * float(std), bool(mean == best)))
     return rows.sparkSession.createDataFrame(
         lines, "params string, mean_metric double, spread double, is_best boolean"
     )

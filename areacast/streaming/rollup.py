@@ -24,10 +24,12 @@ def weekly_rollup(
     """Count and means per key and Monday-to-Sunday week; batch or stream.
 
     On a stream in append mode a week appears once the watermark has passed its end; the
-    state holds the open weeks only. A batch gives all weeks.
+    state holds the open weeks only. A batch gives all weeks. Watermarks need a time with a
+    zone, so a time without one is taken in the session's zone, which should be UTC.
     """
     if observations.isStreaming and delay:
-        observations = observations.withWatermark(ts, delay)
+        zoned = observations.withColumn(ts, F.col(ts).cast("timestamp"))
+        observations = zoned.withWatermark(ts, delay)
     grouped = observations.groupBy(_monday_week(ts).alias("week"), *keys).agg(
         F.count(F.lit(1)).alias(count), *[F.avg(m).alias(m) for m in measures]
     )
