@@ -187,12 +187,20 @@ def headline_facts(
     })
 
 
+def _pearson(a: str, b: str) -> Column:
+    """Correlation over the rows where both are given; null when one of them is constant."""
+    both_a = F.when(F.col(b).isNotNull(), F.col(a))
+    both_b = F.when(F.col(a).isNotNull(), F.col(b))
+    spread = F.stddev_pop(both_a) * F.stddev_pop(both_b)
+    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns, one row per pair."""
     pairs = list(combinations(names, 2))
     one_row = df.agg(
-        *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        *[F.corr(n, n).alias(f"{n}|{n}") for n in names],
+        *[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs],
+        *[_pearson(n, n).alias(f"{n}|{n}") for n in names],
     )
     rows = []
     for a in names:
@@ -209,7 +217,7 @@ def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, names: Sequence[str], above: float = 0.1) -> DataFrame:
     """Unordered pairs with their absolute correlation: over the limit, below 1, descending."""
     pairs = list(combinations(names, 2))
-    one_row = df.agg(*[F.abs(F.corr(a, b)).alias(f"{a}|{b}") for a, b in pairs])
+    one_row = df.agg(*[F.abs(_pearson(a, b)).alias(f"{a}|{b}") for a, b in pairs])
     rows = [
         {
             "feature_1": F.lit(a),
@@ -220,6 +228,6 @@ def correlation_pairs(df: DataFrame, names: Sequence[str], above: float = 0.1) -
     ]
     return (
         _as_rows(one_row, rows)
-        .filter((F.col("correlation") > above) & (F.col("correlation") != 1.0))
+        .filter((F.col("correlation") > above) & (F.round("correlation", 12) != 1.0))
         .orderBy(F.col("correlation").desc(), "feature_1", "feature_2")
     )

@@ -22,18 +22,15 @@ def running_totals(
     order_by: Sequence[Column],
     totals: dict[str, str],
     group_by: Sequence[str] = (),
-    partitions: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums: ``totals`` maps a value column to its new column.
 
     ``order_by`` has to order the rows of a group without ties. Each sum starts anew per
     group. Rows that tie on a hot value are still split, since ``order_by`` tells them apart.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = [F.col(g) for g in group_by]
     placed = written(
-        df.repartitionByRange(n, *groups, *order_by).withColumn("_part", F.spark_partition_id()),
+        df.repartitionByRange(*groups, *order_by).withColumn("_part", F.spark_partition_id()),
         "sorted",
     )
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(

@@ -24,7 +24,7 @@ def read_delimited(
     """Read by declared schema. ``source`` is ``spark.read`` or ``spark.readStream``.
 
     The header of each file is checked against the schema, so swapped columns fail
-    instead of landing under the wrong name.
+    instead of landing under the wrong name. An empty field is null.
     """
     return (
         source.schema(schema)
