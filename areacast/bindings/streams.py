@@ -92,9 +92,8 @@ FROM rows_scored GROUP BY area, week"""
 def stream_weekly_rollup(spark, sf_dir):
     """Weeks that the watermark has closed, per type of event."""
     schema = table(spark, sf_dir, "events").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    # The braces make it a pattern: a stream takes a single file by pattern only.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.{{parquet}}")
     weekly = rollup.weekly_rollup(stream, "ts", ["event_type"], ["value"], "1 day")
     out, checkpoint = scratch_path(spark, "weekly"), scratch_path(spark, "progress")
     arrivals.to_folder(weekly, out, checkpoint)

@@ -189,45 +189,42 @@ def headline_facts(
 
 def _pearson(a: str, b: str) -> Column:
     """Correlation over the rows where both are given; null when one of them is constant."""
-    both_a = F.when(F.col(b).isNotNull(), F.col(a))
-    both_b = F.when(F.col(a).isNotNull(), F.col(b))
-    spread = F.stddev_pop(both_a) * F.stddev_pop(both_b)
-    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+    return F.expr(
+        f"covar_pop(`{a}`, `{b}`) / nullif("
+        f"stddev_pop(if(`{b}` IS NULL, NULL, `{a}`)) * stddev_pop(if(`{a}` IS NULL, NULL, `{b}`))"
+        ", 0)"
+    )
+
+
+def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    one_row = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    columns = F.arrays_zip(
+        F.lit([a for a, _ in pairs]).alias("feature_1"),
+        F.lit([b for _, b in pairs]).alias("feature_2"),
+        F.array(*[f"`{a}|{b}`" for a, b in pairs]).alias("correlation"),
+    )
+    return one_row.select(F.inline(columns))
 
 
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns, one row per pair."""
-    pairs = list(combinations(names, 2))
-    one_row = df.agg(
-        *[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        *[_pearson(n, n).alias(f"{n}|{n}") for n in names],
-    )
-    rows = []
-    for a in names:
-        for b in names:
-            known = f"{a}|{b}" if f"{a}|{b}" in one_row.columns else f"{b}|{a}"
-            rows.append({
-                "feature_1": F.lit(a),
-                "feature_2": F.lit(b),
-                "correlation": F.col(f"`{known}`"),
-            })
-    return _as_rows(one_row, rows)
+    pairs = _pair_rows(df, [*combinations(names, 2), *[(n, n) for n in names]])
+    mirrored = F.when(
+        F.col("feature_1") != F.col("feature_2"),
+        F.array(
+            F.struct("feature_1", "feature_2"),
+            F.struct(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2")),
+        ),
+    ).otherwise(F.array(F.struct("feature_1", "feature_2")))
+    return pairs.select(F.inline(mirrored), "correlation")
 
 
 def correlation_pairs(df: DataFrame, names: Sequence[str], above: float = 0.1) -> DataFrame:
     """Unordered pairs with their absolute correlation: over the limit, below 1, descending."""
-    pairs = list(combinations(names, 2))
-    one_row = df.agg(*[F.abs(_pearson(a, b)).alias(f"{a}|{b}") for a, b in pairs])
-    rows = [
-        {
-            "feature_1": F.lit(a),
-            "feature_2": F.lit(b),
-            "correlation": F.col(f"`{a}|{b}`"),
-        }
-        for a, b in pairs
-    ]
+    pairs = _pair_rows(df, list(combinations(names, 2)))
+    strength = F.abs(F.col("correlation"))
     return (
-        _as_rows(one_row, rows)
+        pairs.withColumn("correlation", strength)
         .filter((F.col("correlation") > above) & (F.round("correlation", 12) != 1.0))
         .orderBy(F.col("correlation").desc(), "feature_1", "feature_2")
     )

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areacast.fixed import PREDICTED
 from areacast.functions import week_key_calendar, week_key_iso
 from areacast.operators.aggregate import model_base
 from areacast.operators.clean import alias_values, impute_mean, sentinel_fill
@@ -90,7 +91,7 @@ def publish(
     """
     spark = predictions.sparkSession
     history = read_folder(spark, base_path, base_schema(spec))
-    old = history.filter(F.col(spec.kind) != "original")
+    old = history.filter(F.col(spec.kind) == PREDICTED)
     merged = merge_predictions(
         old, predictions, [spec.area, spec.week], mode, spec.week, spec.label, spec.kind
     )

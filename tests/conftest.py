@@ -14,7 +14,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
-            "spark.checkpoint.dir": str(root / "shared"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
         },
     )

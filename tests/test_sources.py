@@ -68,9 +68,8 @@ def test_overwrite_of_one_partition_leaves_the_others(spark, tmp_path):
 
 def test_written_goes_to_the_shared_folder(spark):
     df = tables.written(spark.range(5).toDF("v"), "numbers")
-    assert df.inputFiles()[0].removeprefix("file://").startswith(
-        spark.conf.get("spark.checkpoint.dir")
-    )
+    root = session.work_root(spark).removeprefix("file:")
+    assert df.inputFiles()[0].removeprefix("file://").startswith(root)
     assert df.count() == 5
 
 
