@@ -72,26 +72,30 @@ def fit(rows: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     return Pipeline(stages=[assembler(features), estimator]).fit(rows)
 
 
-def boosting_grid(
-    estimator: GBTRegressor,
-    depths: Sequence[int] = (3, 6),
-    subsampling: Sequence[float] = (0.5, 1.0),
-    iterations: Sequence[int] = (10,),
-) -> list:
-    return (
-        ParamGridBuilder()
-        .addGrid(estimator.maxDepth, list(depths))
-        .addGrid(estimator.subsamplingRate, list(subsampling))
-        .addGrid(estimator.maxIter, list(iterations))
-        .build()
-    )
+# Fixed values -- the parameter grids of the model search.
+GRID = {"maxDepth": [3, 6], "subsamplingRate": [0.5, 1.0], "maxIter": [10]}
+SLOW_GRID = {
+    "maxDepth": [3],
+    "subsamplingRate": [0.5],
+    "maxIter": [500],
+    "stepSize": [0.01],
+    "minInstancesPerNode": [5],
+}
+
+
+def boosting_grid(estimator: GBTRegressor, grid: Mapping[str, Sequence] = GRID) -> list:
+    """All combinations of the named parameters."""
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder.addGrid(estimator.getParam(name), list(values))
+    return builder.build()
 
 
 def cross_validate(
     rows: DataFrame,
     features: Sequence[str],
     label: str,
-    grid: Mapping[str, Sequence] | None = None,
+    grid: Mapping[str, Sequence] = GRID,
     folds: int = 3,
     metric: str = "r2",
     seed: int = SEED,
@@ -105,7 +109,7 @@ def cross_validate(
     estimator = boosting(label, seed)
     return CrossValidator(
         estimator=Pipeline(stages=[assembler(features), estimator]),
-        estimatorParamMaps=boosting_grid(estimator, **(grid or {})),
+        estimatorParamMaps=boosting_grid(estimator, grid),
         evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
         numFolds=folds,
         seed=seed,

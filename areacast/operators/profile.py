@@ -6,11 +6,12 @@ single pass over the table whatever the number of columns.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from areacast.operators.running import running_totals
@@ -67,72 +68,128 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+# The sketch errs by at most one part in _ACCURACY of the ranks; the slice around a quantile
+# reaches _MARGIN times as far to either side.
+_ACCURACY = 10_000
+_MARGIN = 10
+
+
+def _given(name: str) -> Column:
+    """The value as a double; NaN counts as missing."""
+    return F.nullif(F.col(name).cast("double"), F.lit(float("nan")))
+
+
 def describe_numeric(
     df: DataFrame,
     names: Sequence[str],
     quantiles: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quantiles and maximum per column.
+    """Count, mean, standard deviation, minimum, exact quantiles and maximum per column.
 
-    Quantiles are exact and linearly interpolated. The values are first collapsed to
-    distinct values with counts; the ranks then come from distributed running totals, so
-    no task ever holds all values of a column.
+    Three scans, whose results are a few numbers per column: moments together with rank
+    sketches, counts around each quantile, and the slices that hold the quantiles.
     """
-    quantiles = quantiles or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    moments = df.agg(*[
-        stat(F.col(n).cast("double")).alias(f"{n}|{label}")
-        for n in names
-        for label, stat in (
-            ("n", F.count), ("mean", F.avg), ("sd", F.stddev_samp), ("lo", F.min), ("hi", F.max)
-        )
-    ])
-    moments = _as_rows(moments, [
-        {
-            "column_name": F.lit(n),
-            "n_values": F.col(f"`{n}|n`"),
-            "mean": F.col(f"`{n}|mean`"),
-            "std": F.col(f"`{n}|sd`"),
-            "min_value": F.col(f"`{n}|lo`"),
-            "max_value": F.col(f"`{n}|hi`"),
-        }
-        for n in names
-    ])
-    return moments.join(exact_quantiles(df, names, quantiles), "column_name", "left")
+    quantiles = quantiles or QUARTILES
+    stats = (
+        ("n_values", F.count), ("mean", F.avg), ("std", F.stddev_samp),
+        ("min_value", F.min), ("max_value", F.max),
+    )
+    found = df.agg(
+        *[stat(_given(n)).alias(f"{n}|{label}") for n in names for label, stat in stats],
+        *_sketches(names, quantiles),
+    ).first()
+    types = "column_name string, n_values bigint, mean double, std double, min_value double, " \
+            "max_value double"
+    lines = [(n, *[found[f"{n}|{label}"] for label, _ in stats]) for n in names]
+    moments = df.sparkSession.createDataFrame(lines, types)
+    ends = _quantiles_between(df, names, quantiles, found)
+    return moments.join(ends, "column_name", "left")
 
 
 def exact_quantiles(
-    df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float]
+    df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Linearly interpolated quantiles of the non-null values, one row per column."""
-    long = (
-        df.select(*[F.col(n).cast("double").alias(n) for n in names])
-        .unpivot([], list(names), "column_name", "value")
+    """Linearly interpolated quantiles of the given values, one row per column.
+
+    A rank sketch narrows each quantile to a thin slice of the values, the values below it
+    are counted exactly, and only the slice is sorted. Where the counts show that a slice
+    misses its ranks, all values of that column take its place.
+    """
+    quantiles = quantiles or QUARTILES
+    found = df.agg(
+        *[F.count(_given(n)).alias(f"{n}|n_values") for n in names], *_sketches(names, quantiles)
+    ).first()
+    return _quantiles_between(df, names, quantiles, found)
+
+
+def _sketches(names: Sequence[str], quantiles: Mapping[str, float]) -> list[Column]:
+    reach = _MARGIN / _ACCURACY
+    ends = [
+        min(max(end, 0.0), 1.0) for q in quantiles.values() for end in (q - reach, q + reach)
+    ]
+    return [F.percentile_approx(_given(n), ends, _ACCURACY).alias(f"{n}|ends") for n in names]
+
+
+def _quantiles_between(
+    df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float], found: Row
+) -> DataFrame:
+    """The quantiles, given the number of values and the ends of the slices."""
+    slices = {
+        (n, label): (found[f"{n}|ends"][2 * i], found[f"{n}|ends"][2 * i + 1])
+        for n in names
+        if found[f"{n}|n_values"]
+        for i, label in enumerate(quantiles)
+    }
+    counts = df.agg(
+        F.lit(0).alias("none"),
+        *[F.count_if(_given(n) < low).alias(f"{n}|{q}|below") for (n, q), (low, _) in slices.items()],
+        *[
+            F.count_if(_given(n).between(low, high)).alias(f"{n}|{q}|within")
+            for (n, q), (low, high) in slices.items()
+        ],
+    ).first()
+    targets, pieces = [], []
+    for (n, label), (low, high) in slices.items():
+        position = (found[f"{n}|n_values"] - 1) * quantiles[label]
+        first, last = math.floor(position) + 1, math.ceil(position) + 1
+        below = counts[f"{n}|{label}|below"]
+        value = _given(n)
+        if below < first and last <= below + counts[f"{n}|{label}|within"]:
+            value = F.when(value.between(low, high), value)
+        else:
+            below = 0
+        targets.append((n, label, first - below, last - below, position - math.floor(position)))
+        pieces.append(F.struct(
+            F.lit(n).alias("column_name"), F.lit(label).alias("label"), value.alias("value")
+        ))
+    spark = df.sparkSession
+    wanted = spark.createDataFrame(
+        targets, "column_name string, label string, first bigint, last bigint, part double"
+    )
+    if not pieces:
+        empty = ", ".join(f"{q} double" for q in quantiles)
+        return spark.createDataFrame([], f"column_name string, {empty}")
+    collapsed = (
+        df.select(F.inline(F.array(*pieces)))
         .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
+        .groupBy("column_name", "label", "value")
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
-    ranked = running_totals(long, [F.col("value")], {"n_equal": "last_rank"}, ["column_name"])
-    totals = ranked.groupBy("column_name").agg(F.sum("n_equal").alias("n_values"))
-    ranked = ranked.join(totals, "column_name")
-
-    def value_at(rank: Column) -> Column:
-        first_rank = F.col("last_rank") - F.col("n_equal") + 1
-        return F.max(F.when(rank.between(first_rank, F.col("last_rank")), F.col("value")))
-
-    aggregates = []
-    for label, q in quantiles.items():
-        position = (F.col("n_values") - 1) * F.lit(q)
-        aggregates += [
-            value_at(F.floor(position) + 1).alias(f"{label}_low"),
-            value_at(F.ceil(position) + 1).alias(f"{label}_high"),
-            F.max(position - F.floor(position)).alias(f"{label}_part"),
-        ]
-    ends = ranked.groupBy("column_name").agg(*aggregates)
-    return ends.select("column_name", *[
-        (
-            F.col(f"{q}_low") + (F.col(f"{q}_high") - F.col(f"{q}_low")) * F.col(f"{q}_part")
-        ).alias(q)
-        for q in quantiles
+    ranked = running_totals(
+        collapsed, [F.col("value")], {"n_equal": "last_rank"}, ["column_name", "label"]
+    ).join(wanted, ["column_name", "label"])
+
+    def value_at(rank: str) -> Column:
+        lowest = F.col("last_rank") - F.col("n_equal") + 1
+        return F.max(F.when(F.col(rank).between(lowest, F.col("last_rank")), F.col("value")))
+
+    ends = ranked.groupBy("column_name", "label", "part").agg(
+        value_at("first").alias("low"), value_at("last").alias("high")
+    )
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    return ends.groupBy("column_name").agg(*[
+        F.max(F.when(F.col("label") == q, value)).alias(q) for q in quantiles
     ])
 
 

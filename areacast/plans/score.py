@@ -8,13 +8,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areacast.fixed import PREDICTED
-from areacast.functions import week_key_calendar, week_key_iso
+from areacast.fixed import PREDICTED, REQUEST_BOUNDS
+from areacast.functions import label_area, label_station, week_key_calendar, week_key_iso
 from areacast.operators.aggregate import model_base
 from areacast.operators.clean import alias_values, impute_mean, sentinel_fill
 from areacast.operators.joins import expand_to_areas
 from areacast.operators.merge import as_base_rows, merge_predictions
 from areacast.plans.spec import BaseSpec
+from areacast.sources.requests import accepted, check_requests
 from areacast.sources.tables import overwrite_partitions, read_folder, written
 
 WEEK_KEYS = {"iso": week_key_iso, "calendar": week_key_calendar}
@@ -29,6 +30,22 @@ def request_rows(
     return expanded.withColumnsRenamed({spec.obs_station: spec.station, spec.dim_area: spec.area})
 
 
+def form_rows(form: DataFrame, spec: BaseSpec = BaseSpec(), week_rule: str = "iso") -> DataFrame:
+    """Submitted forms in the shape of :func:`request_rows`.
+
+    A form names its area, station and weather in one row, so there is nothing to join and
+    forms of the same station do not mix.
+    """
+    label = F.col("bairro_estacao")
+    return form.select(
+        label_area(label).alias(spec.area),
+        label_station(label).alias(spec.station),
+        F.col("populacao").cast("double").alias(spec.population),
+        WEEK_KEYS[week_rule](F.col("data")).alias(spec.week),
+        *[F.col(m) for m in spec.measures],
+    )
+
+
 def clean_request(
     rows: DataFrame,
     spec: BaseSpec = BaseSpec(),
@@ -48,7 +65,11 @@ def request_base(
     week_rule: str = "iso",
 ) -> DataFrame:
     """The request in the shape of the base, with the number of observations as no label."""
-    cleaned = clean_request(request_rows(weather, areas, spec, week_rule), spec, means)
+    return _base_of(request_rows(weather, areas, spec, week_rule), spec, means)
+
+
+def _base_of(rows: DataFrame, spec: BaseSpec, means) -> DataFrame:
+    cleaned = clean_request(rows, spec, means)
     return model_base(
         cleaned, spec.area, spec.week, spec.station, spec.means, "n_observations", spec.stations
     )
@@ -67,6 +88,20 @@ def score(
     return as_base_rows(scored, spec.base_columns, spec.label, kind=spec.kind)
 
 
+def score_forms(
+    form: DataFrame,
+    model: PipelineModel,
+    spec: BaseSpec = BaseSpec(),
+    means: DataFrame | Mapping[str, float] | None = None,
+    week_rule: str = "iso",
+    bounds: Mapping[str, tuple[float, float]] = REQUEST_BOUNDS,
+) -> DataFrame:
+    """Predicted cases of the forms that keep the limits, as base rows."""
+    kept = accepted(check_requests(form, bounds))
+    scored = model.transform(_base_of(form_rows(kept, spec, week_rule), spec, means))
+    return as_base_rows(scored, spec.base_columns, spec.label, kind=spec.kind)
+
+
 def score_features(
     rows: DataFrame, model: PipelineModel, features: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from areacast.fixed import ALIASES, STATIONS
 
 @dataclass(frozen=True)
 class BaseSpec:
+    # Fixed values -- column names of the files and of the base.
     area: str = "no_bairro_residencia"
     week: str = "ds_semana_notificacao"
     onset: str = "dt_diagnostico_sintoma"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from areacast.fixed import DAY_FIRST_SLASH, REQUEST_BOUNDS
 from areacast.functions import label_area, label_station, to_decimal_comma
 
+# Fixed values -- columns of request files and of the form.
 AREA_REQUEST = "bairro string, populacao int, estacao string"
 WEATHER_REQUEST = (
     "codigo_estacao string, nome_estacao string, data string, precipitacao string, "
@@ -19,6 +20,7 @@ FORM = (
     "bairro_estacao string, populacao int, data date, precipitacao double, "
     "temp_maxima double, temp_minima double, temp_comp_media double"
 )
+MEASURES = ("precipitacao", "temp_maxima", "temp_minima", "temp_comp_media")
 
 
 def area_rows(form: DataFrame, label: str = "bairro_estacao") -> DataFrame:
@@ -33,7 +35,7 @@ def area_rows(form: DataFrame, label: str = "bairro_estacao") -> DataFrame:
 def weather_rows(
     form: DataFrame,
     label: str = "bairro_estacao",
-    measures: Sequence[str] = ("precipitacao", "temp_maxima", "temp_minima", "temp_comp_media"),
+    measures: Sequence[str] = MEASURES,
     digits: int = 2,
 ) -> DataFrame:
     """Form rows -> the rows of a weather file: date and measures as they are in files."""

@@ -8,7 +8,7 @@ from areacast.operators import learn
 from areacast.plans import score
 from areacast.plans.spec import BaseSpec
 from areacast.plans.training_base import prepare_weather
-from areacast.sources import delimited, tables
+from areacast.sources import delimited, requests, tables
 from areacast.streaming import arrivals, rollup
 from tests.conftest import rows
 
@@ -86,7 +86,7 @@ def test_train_and_score_jobs(spark, folder):
     base_path, model_path = str(root / "base"), str(root / "model")
     jobs.train(
         spark, base_path, model_path, str(root / "report"), folds=2,
-        grid={"depths": [2], "subsampling": [1.0], "iterations": [2]},
+        grid={"maxDepth": [2], "maxIter": [2]},
     )
     assert (root / "report" / "importance").exists()
     observed = rows(base_of(spark, root).filter("ds_tipo_base = 'original'"))
@@ -125,6 +125,29 @@ def test_request_means_and_week_rules(spark):
     assert {r[SPEC.week] for r in calendar} == {201653, 201601}
 
 
+def test_a_form_scores_as_its_files(spark):
+    base = spark.createDataFrame(
+        [(f"A{i}", "201601", float(i % 7), 100.0 * i, 30.0 + i % 4, 20.0, 25.0,
+          *[float(i % 2)] * 8, "original") for i in range(60)],
+        score.base_schema(SPEC),
+    )
+    model = learn.fit(
+        learn.training_rows(base, SPEC.features, SPEC.label), SPEC.features,
+        learn.boosting(SPEC.label, maxIter=2, maxDepth=2),
+    )
+    form = spark.createDataFrame(
+        [("COHAB - RECIFE", 1000, date(2017, 3, 1), 1.0, 33.0, 18.0, 28.0)], requests.FORM
+    )
+    bad = form.withColumn("temp_minima", F.lit(60.0))
+    from_form = score.score_forms(form.union(bad), model, SPEC)
+    from_files = score.score(
+        prepare_weather(requests.weather_rows(form), SPEC), requests.area_rows(form), model, SPEC
+    )
+    assert rows(from_form) == rows(from_files)
+    (row,) = from_form.collect()
+    assert (row[SPEC.area], row[SPEC.week], row.estacao_recife) == ("COHAB", 201709, 1.0)
+
+
 def test_arrivals_are_scored_once_and_as_in_batch(spark, tmp_path):
     areas = spark.createDataFrame(
         [("A", 10.0, "RECIFE"), ("B", 30.0, "RECIFE"), ("C", 5.0, "CABROBÓ")],

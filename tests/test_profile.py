@@ -43,6 +43,26 @@ def test_describe_numeric(df, numbers):
         )
 
 
+@pytest.mark.parametrize("margin", [10, 0, -2000])
+def test_quantiles_hold_when_the_slices_miss(df, numbers, monkeypatch, margin):
+    """With slices that are too narrow or inside out all values take their place."""
+    monkeypatch.setattr(profile, "_MARGIN", margin)
+    quantiles = {"low": 0.0, "odd": 0.123, "mid": 0.5, "top": 1.0}
+    for r in profile.exact_quantiles(df, ["a", "b"], quantiles).collect():
+        for label, q in quantiles.items():
+            assert r[label] == pytest.approx(numbers[r.column_name].quantile(q))
+
+
+def test_quantiles_of_many_values(spark):
+    rng = np.random.default_rng(8)
+    values = np.where(rng.random(60_000) < 0.33, 1.0, rng.lognormal(size=60_000))
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(16)
+    quantiles = {"q01": 0.01, "q25": 0.25, "q50": 0.5, "q99": 0.99}
+    found = profile.exact_quantiles(df, ["v"], quantiles).first()
+    for label, q in quantiles.items():
+        assert found[label] == pytest.approx(np.quantile(values, q), rel=1e-12)
+
+
 def test_describe_of_one_and_of_no_value(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "x double, y double")
     found = {r.column_name: r.asDict() for r in profile.describe_numeric(df, ["x", "y"]).collect()}
