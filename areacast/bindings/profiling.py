@@ -102,15 +102,15 @@ GROUP BY p_brand ORDER BY count DESC, p_brand"""
 
 def describe_numeric(spark, sf_dir):
     described = profile.describe_numeric(table(spark, sf_dir, "lineitem"), LINE_NUMBERS)
-    return rounded(described, "mean", "std", "q25", "q50", "q75", digits=6)
+    return rounded(described, "mean", "std", "q25", "q50", "q75", digits=7)
 
 
 QUERIES["describe_numeric"] = describe_numeric
 ORACLES["describe_numeric"] = _union_sql(
-    f"""SELECT '{c}' AS column_name, count({c}) AS n_values, round(avg({c}), 6) AS mean,
-       round(stddev_samp({c}), 6) AS std, min({c}) AS min_value, max({c}) AS max_value,
-       round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
-       round(quantile_cont({c}, 0.75), 6) AS q75 FROM lineitem"""
+    f"""SELECT '{c}' AS column_name, count({c}) AS n_values, round(avg({c}), 7) AS mean,
+       round(stddev_samp({c}), 7) AS std, min({c}) AS min_value, max({c}) AS max_value,
+       round(quantile_cont({c}, 0.25), 7) AS q25, round(quantile_cont({c}, 0.5), 7) AS q50,
+       round(quantile_cont({c}, 0.75), 7) AS q75 FROM lineitem"""
     for c in LINE_NUMBERS
 )
 

@@ -54,6 +54,9 @@ def lookup_left(
     if fanout not in ("keep", "first", "error"):
         raise ValueError(f"unknown fanout: {fanout}")
     dim_keys = list(on.values())
+    twice = sorted(set(facts.columns) & (set(dim.columns) - set(dim_keys)))
+    if twice:
+        raise ValueError(f"columns on both sides: {', '.join(twice)}")
     if fanout != "keep":
         dim = unique_rows(dim, dim_keys, fanout, prefer)
     marked = {key: f"_key_{i}" for i, key in enumerate(dim_keys)}

@@ -62,6 +62,8 @@ def test_fanout(spark, skewed, dim):
         joins.enrich_area(skewed, dim, fanout="last")
     with pytest.raises(ValueError, match="split_by"):
         joins.enrich_area(skewed, dim, hot_splits=2)
+    with pytest.raises(ValueError, match="both sides: populacao"):
+        joins.enrich_area(skewed.withColumn("populacao", F.lit(1)), dim)
 
 
 def test_fanout_audit(dim):
