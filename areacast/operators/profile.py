@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areacast.operators.running import running_totals
@@ -71,8 +71,8 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 # The sketch errs by at most one part in _ACCURACY of the ranks; the slice around a quantile
 # reaches _MARGIN times as far to either side.
-_ACCURACY = 10_000
-_MARGIN = 10
+_ACCURACY = 2_000
+_MARGIN = 4
 
 
 def _given(name: str) -> Column:
@@ -85,26 +85,19 @@ def describe_numeric(
     names: Sequence[str],
     quantiles: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Count, mean, standard deviation, minimum, exact quantiles and maximum per column.
-
-    Three scans, whose results are a few numbers per column: moments together with rank
-    sketches, counts around each quantile, and the slices that hold the quantiles.
-    """
-    quantiles = quantiles or QUARTILES
-    stats = (
-        ("n_values", F.count), ("mean", F.avg), ("std", F.stddev_samp),
-        ("min_value", F.min), ("max_value", F.max),
-    )
-    found = df.agg(
-        *[stat(_given(n)).alias(f"{n}|{label}") for n in names for label, stat in stats],
-        *_sketches(names, quantiles),
-    ).first()
-    types = "column_name string, n_values bigint, mean double, std double, min_value double, " \
-            "max_value double"
-    lines = [(n, *[found[f"{n}|{label}"] for label, _ in stats]) for n in names]
-    moments = df.sparkSession.createDataFrame(lines, types)
-    ends = _quantiles_between(df, names, quantiles, found)
-    return moments.join(ends, "column_name", "left")
+    """Count, mean, standard deviation, minimum, exact quantiles and maximum per column."""
+    stats = {
+        "n_values": F.count, "mean": F.avg, "std": F.stddev_samp,
+        "min_value": F.min, "max_value": F.max,
+    }
+    moments = df.agg(*[
+        stat(_given(n)).alias(f"{n}|{label}") for n in names for label, stat in stats.items()
+    ])
+    moments = _as_rows(moments, [
+        {"column_name": F.lit(n), **{label: F.col(f"`{n}|{label}`") for label in stats}}
+        for n in names
+    ])
+    return moments.join(exact_quantiles(df, names, quantiles), "column_name", "left")
 
 
 def exact_quantiles(
@@ -114,36 +107,34 @@ def exact_quantiles(
 
     A rank sketch narrows each quantile to a thin slice of the values, the values below it
     are counted exactly, and only the slice is sorted. Where the counts show that a slice
-    misses its ranks, all values of that column take its place.
+    misses its ranks, all values of that column take its place. The driver sees a few
+    numbers per column only.
     """
     quantiles = quantiles or QUARTILES
-    found = df.agg(
-        *[F.count(_given(n)).alias(f"{n}|n_values") for n in names], *_sketches(names, quantiles)
-    ).first()
-    return _quantiles_between(df, names, quantiles, found)
-
-
-def _sketches(names: Sequence[str], quantiles: Mapping[str, float]) -> list[Column]:
+    spark = df.sparkSession
     reach = _MARGIN / _ACCURACY
     ends = [
         min(max(end, 0.0), 1.0) for q in quantiles.values() for end in (q - reach, q + reach)
     ]
-    return [F.percentile_approx(_given(n), ends, _ACCURACY).alias(f"{n}|ends") for n in names]
-
-
-def _quantiles_between(
-    df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float], found: Row
-) -> DataFrame:
-    """The quantiles, given the number of values and the ends of the slices."""
+    found = df.agg(
+        *[F.percentile_approx(_given(n), ends, _ACCURACY).alias(n) for n in names]
+    ).first()
     slices = {
-        (n, label): (found[f"{n}|ends"][2 * i], found[f"{n}|ends"][2 * i + 1])
+        (n, label): (found[n][2 * i], found[n][2 * i + 1])
         for n in names
-        if found[f"{n}|n_values"]
+        if found[n]
         for i, label in enumerate(quantiles)
     }
+    if not slices:
+        return spark.createDataFrame(
+            [], "column_name string, " + ", ".join(f"{q} double" for q in quantiles)
+        )
     counts = df.agg(
-        F.lit(0).alias("none"),
-        *[F.count_if(_given(n) < low).alias(f"{n}|{q}|below") for (n, q), (low, _) in slices.items()],
+        *[F.count(_given(n)).alias(n) for n in names],
+        *[
+            F.count_if(_given(n) < low).alias(f"{n}|{q}|below")
+            for (n, q), (low, _) in slices.items()
+        ],
         *[
             F.count_if(_given(n).between(low, high)).alias(f"{n}|{q}|within")
             for (n, q), (low, high) in slices.items()
@@ -151,7 +142,7 @@ def _quantiles_between(
     ).first()
     targets, pieces = [], []
     for (n, label), (low, high) in slices.items():
-        position = (found[f"{n}|n_values"] - 1) * quantiles[label]
+        position = (counts[n] - 1) * quantiles[label]
         first, last = math.floor(position) + 1, math.ceil(position) + 1
         below = counts[f"{n}|{label}|below"]
         value = _given(n)
@@ -163,13 +154,9 @@ def _quantiles_between(
         pieces.append(F.struct(
             F.lit(n).alias("column_name"), F.lit(label).alias("label"), value.alias("value")
         ))
-    spark = df.sparkSession
     wanted = spark.createDataFrame(
         targets, "column_name string, label string, first bigint, last bigint, part double"
     )
-    if not pieces:
-        empty = ", ".join(f"{q} double" for q in quantiles)
-        return spark.createDataFrame([], f"column_name string, {empty}")
     collapsed = (
         df.select(F.inline(F.array(*pieces)))
         .filter(F.col("value").isNotNull())
