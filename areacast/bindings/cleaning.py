@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areacast.bindings import roles
-from areacast.bindings.roles import SPEC, iso_day, rounded, table
+from areacast.bindings.roles import iso_day, rounded, table
 from areacast.fixed import REQUEST_BOUNDS, WEATHER_HEADERS
 from areacast.functions import (
     compose_label,

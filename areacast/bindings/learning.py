@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areacast.bindings import roles
-from areacast.bindings.roles import SPEC, fixed_prediction, iso_day, rounded
+from areacast.bindings.roles import SPEC, fixed_prediction, rounded
 from areacast.operators import learn
 from areacast.plans import score, train
 from areacast.session import scratch_path

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, rounded, table
 from areacast.operators import aggregate, profile

@@ -110,7 +110,10 @@ def test_importance(rows_and_model):
 
 
 def test_train_beats_the_mean(base):
-    trained = train.train(base, SPEC, folds=2, grid={"maxDepth": [3], "subsamplingRate": [0.5, 1.0], "maxIter": [5]})
+    trained = train.train(
+        base, SPEC, folds=2,
+        grid={"maxDepth": [3], "subsamplingRate": [0.5, 1.0], "maxIter": [5]},
+    )
     metrics = trained.metrics.first()
     assert metrics.mse < metrics.baseline_mse
     report = trained.report.collect()
