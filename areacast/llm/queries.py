@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from areacast.llm import neardup
+from areacast.llm import decontaminate, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +17,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _table(spark, sf_dir, "documents"), "doc_id", _table(spark, sf_dir, "benchmark"), "item_id"
+    )
+    names = F.sort_array(F.transform("items", lambda i: i.cast("string")))
+    n_hit = F.aggregate(
+        "spans", F.lit(0).cast("bigint"), lambda n, s: n + (s["end"] - s["start"])
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near_items"),
+    )
+
+
+QUERIES["op1_decontamination"] = op1_decontamination
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", n=4, percent=80)
 
