@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, neardup
+from areacast.llm import decontaminate, neardup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,17 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_minhash"] = op5_minhash
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = _table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(docs, toxicity.train(docs, labels, "doc_id", "toxic"))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+QUERIES["op6_toxicity"] = op6_toxicity
