@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, neardup, toxicity
+from areacast.llm import decontaminate, mixing, neardup, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,32 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_toxicity"] = op6_toxicity
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = shards.shuffled(docs, "doc_id", shards=8)
+    return placed.select(
+        "doc_id",
+        shards.record_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        shards.shard_of("doc_id", 9).alias("grown_shard"),
+    )
+
+
+QUERIES["op7_sharding"] = op7_sharding
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, "doc_id").select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).cast("bigint").alias("taken"),
+    )
+
+
+QUERIES["op8_mixing"] = op8_mixing
