@@ -73,12 +73,14 @@ def mix(
 ) -> DataFrame:
     """All documents with ``_size``, ``_source_size``, ``_target`` and ``_copies``, the times it is taken.
 
+    Columns of these names are replaced.
     A size is the number of words; null, empty and blank texts have none, so they count for nothing and are
     taken like others. A null source is a source. Within a source all documents have the same inclusion
     probability. Rows that share an id share the random number and are taken alike. Without any
     words every target is 0 and nothing is taken.
     """
-    columns = docs.columns
+    added = ("_size", "_source_size", "_target", "_copies")
+    columns = [c for c in docs.columns if c.lower() not in added]
     size = word_count(F.col(text))
     narrow = docs.select(
         F.col(source).alias("source"), _number(id_column, seed).alias("u"), size.alias("size")
@@ -115,19 +117,21 @@ def mix(
     plan = plan.join(full, F.col("source").eqNullSafe(F.col("full_of")), "left").join(
         nearest, F.col("source").eqNullSafe(F.col("of")), "left"
     ).select(
-        F.col("source").alias("_of"), "source_size", "target", "whole", "p", "last_rank", "filler"
+        F.col("source").alias("_mix_of"), F.col("source_size").alias("_source_size"),
+        F.col("target").alias("_target"), F.col("whole").alias("_mix_whole"),
+        F.col("p").alias("_mix_p"), F.col("last_rank").alias("_mix_last"),
+        F.col("filler").alias("_mix_filler"),
     )
 
+    u, p = F.col("_mix_u"), F.col("_mix_p")
+    own_rank = F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
+    one_more = (own_rank <= F.col("_mix_last")) | (own_rank == F.col("_mix_filler"))
     marked = docs.select(
-        *columns, size.alias("_size"), _number(id_column, seed).alias("u")
-    ).join(plan, F.col(source).eqNullSafe(F.col("_of")), "left")
-    one_more = F.coalesce(rank <= F.col("last_rank"), F.lit(False)) | F.coalesce(
-        rank == F.col("filler"), F.lit(False)
-    )
+        *columns, size.alias("_size"), _number(id_column, seed).alias("_mix_u")
+    ).join(plan, F.col(source).eqNullSafe(F.col("_mix_of")), "left")
     return marked.select(
-        *columns, "_size", F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
-        (F.col("whole") + F.when(one_more, 1).otherwise(0)).cast("int").alias("_copies"),
+        *columns, "_size", "_source_size", "_target",
+        (F.col("_mix_whole") + F.when(one_more, 1).otherwise(0)).cast("int").alias("_copies"),
     )
 
 
@@ -135,4 +139,4 @@ def taken(docs: DataFrame, id_column: str, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with its own columns only."""
     mixed = mix(docs, id_column, **options)
     times = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return mixed.withColumn("_time", times).select(*docs.columns)
+    return mixed.withColumn("_mix_time", times).select(*docs.columns)

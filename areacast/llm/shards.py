@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -43,32 +44,34 @@ def shuffled(
 ) -> DataFrame:
     """All records with ``_shard`` and ``_slot``, their place in the shard from 0 on without gaps.
 
+    Columns of these names are replaced.
     Reruns agree whatever the order and partitioning of the records. Records with equal ids are of one shard and
     are spread over its buckets by their text; wholly equal ones are interchangeable. Null ids are a key like
     others, null and empty texts are records like others, and no records give none.
     """
-    columns = docs.columns
+    columns = [c for c in docs.columns if c.lower() not in ("_shard", "_slot")]
     total = docs.agg(F.sum(record_size(text)).alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     spread = F.xxhash64(F.lit(seed + 1), F.col(id_column), F.col(text))
     placed = docs.select(
         *columns, shard_of(id_column, shards, seed).alias("_shard"),
-        F.pmod(spread, F.lit(buckets)).cast("int").alias("_bucket"), spread.alias("_order"),
+        F.pmod(spread, F.lit(buckets)).cast("int").alias("_shard_bucket"), spread.alias("_shard_order"),
     )
     # Where each bucket starts in its shard.
-    sizes = placed.groupBy("_shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(
+    sizes = placed.groupBy("_shard", "_shard_bucket").agg(F.count("*").alias("_shard_n"))
+    before = Window.partitionBy("_shard").orderBy("_shard_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = sizes.select(
-        "_shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_slot")
+        "_shard", "_shard_bucket", F.coalesce(F.sum("_shard_n").over(before), F.lit(0)).alias("_slot")
     )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = StructType([docs.schema[c] for c in columns])
+    schema = schema.add("_shard", IntegerType()).add("_slot", LongType())
 
     def shuffle(bucket: pa.Table) -> pa.Table:
         order = np.lexsort((bucket.column(id_column).is_null().to_numpy(),
-                            bucket.column("_order").to_numpy()))
-        shard, number = bucket.column("_shard")[0].as_py(), bucket.column("_bucket")[0].as_py()
+                            bucket.column("_shard_order").to_numpy()))
+        shard, number = bucket.column("_shard")[0].as_py(), bucket.column("_shard_bucket")[0].as_py()
         draw = np.random.Generator(np.random.PCG64([seed, shard, number]))
         # A Fisher-Yates shuffle.
         draw.shuffle(order)
@@ -77,10 +80,10 @@ def shuffled(
         return rows.append_column("_slot", pa.array(slots, pa.int64()))
 
     return (
-        placed.join(starts, ["_shard", "_bucket"])
-        .select(*columns, "_shard", "_bucket", "_order", "_slot")
-        .groupBy("_shard", "_bucket")
-        .applyInArrow(shuffle, f"{schema}, _shard int, _slot bigint")
+        placed.join(starts, ["_shard", "_shard_bucket"])
+        .select(*columns, "_shard", "_shard_bucket", "_shard_order", "_slot")
+        .groupBy("_shard", "_shard_bucket")
+        .applyInArrow(shuffle, schema)
     )
 
 

@@ -90,7 +90,7 @@ def train(
     """(slots, weights) that are not zero, learned from the labelled texts; the bias has the last slot.
 
     Rows without a label of 0 or 1 or without a matching id are not learned from. Without any labelled
-    row there is no weight and every score is 0.5.
+    row there is no weight and every score is 0.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).select(
         F.col(id_column), F.col(label).cast("int").alias("label")
@@ -149,6 +149,7 @@ def score(
                 # Only features with a weight need to be told apart.
                 at = np.unique(at[dense[at] != 0])
                 sums[i] = dense[at].sum() + dense[-1]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
+            known = len(slots) > 0
+            yield pd.Series(known / (1 + np.exp(-np.clip(sums, -35, 35))))
 
     return docs.select(*columns, scored(F.col(text)).alias("score"))
