@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, mixing, neardup, shards, toxicity
+from areacast.llm import decontaminate, mixing, neardup, shards, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op1_decontamination"] = op1_decontamination
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", threshold=0.9)
+
+
+QUERIES["op3_embeddings"] = op3_embeddings
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", n=4, percent=80)
 
