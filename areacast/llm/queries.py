@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, mixing, neardup, shards, toxicity, vectors
+from areacast.llm import decontaminate, mixing, neardup, secrets, shards, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,43 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_mixing"] = op8_mixing
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+    base = F.filter("secret_spans", lambda s: s["rank"] < len(secrets.BASE))
+
+    def number(kind):
+        return F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    return found.select(
+        "doc_id",
+        *[number(rule.kind).alias(f"n_{rule.kind}") for rule in secrets.BASE],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("secret_spans")).alias("spans"),
+    )
+
+
+QUERIES["op9_secrets"] = op9_secrets
+
+# The given rules (fixed values).
+URL_RULES = (
+    urls.Rule("net", "/", "block"),
+    urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"),
+    urls.Rule("org", "/fr/", "allow"),
+)
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES["op10_urls"] = op10_urls
