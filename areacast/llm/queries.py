@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, mixing, neardup, secrets, shards, toxicity, urls, vectors
+from areacast.llm import decontaminate, licenses, mixing, neardup, secrets, shards, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,20 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op3_embeddings"] = op3_embeddings
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs)
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda x: x["license"]), ",").alias("licenses"),
+        F.array_join(F.transform("licenses", lambda x: x["at"].cast("string")), ",").alias("words"),
+    )
+
+
+QUERIES["op4_licenses"] = op4_licenses
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", n=4, percent=80)
 
