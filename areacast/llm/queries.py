@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, licenses, mixing, neardup, secrets, shards, toxicity, urls, vectors
+from areacast.llm import decontaminate, licenses, lines, mixing, neardup, secrets, shards, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op1_decontamination"] = op1_decontamination
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(_table(spark, sf_dir, "documents"), "doc_id", percent=80)
+
+
+QUERIES["op2_lines"] = op2_lines
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", threshold=0.9)
 
