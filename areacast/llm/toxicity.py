@@ -123,7 +123,7 @@ def train(
             [pa.array(kept, pa.int64()), pa.array(weights[kept], pa.float64())], ["slot", "weight"]
         )
 
-    learned = rows.coalesce(1).mapInArrow(run, "slot bigint, weight double").toArrow()
+    learned = rows.repartition(1).mapInArrow(run, "slot bigint, weight double").toArrow()
     return learned.column("slot").to_numpy(), learned.column("weight").to_numpy()
 
 
