@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacast.llm import words
+from areacast.llm.blocks import block_pairs
 from areacast.llm.graph import components
 from areacast.sources.tables import written
 
@@ -169,51 +170,6 @@ def _block_links(members: pa.Table, percent: int) -> pa.Table:
     })
 
 
-def _units(members: DataFrame) -> DataFrame:
-    """Rows (unit, side, group, node): what is compared in one task.
-
-    ``members`` has (group, node, main). A group with at most a block of nodes goes, together with other
-    such groups, into one unit (side 0: all with all). Larger ones are cut into blocks: a pair of blocks
-    is a unit, with side 1 against side 2; two blocks of main nodes are no pair.
-    """
-    sizes = members.groupBy("group").agg(
-        F.sum(F.when(F.col("main"), 1).otherwise(0)).alias("mains"), F.count("*").alias("nodes")
-    ).where("nodes > mains")
-    placed = members.join(sizes, "group")
-    small = placed.where(f"nodes <= {BLOCK}").withColumn("side", F.lit(0)).withColumn(
-        # Groups of a few nodes share a unit of about a block, by their number.
-        "unit", F.xxhash64(F.pmod("group", F.lit(1 << 40)) % F.col("units"))
-    )
-    others = F.ceil((F.col("nodes") - F.col("mains")) / BLOCK)
-    count = F.when(F.col("main"), F.ceil(F.col("mains") / BLOCK)).otherwise(others)
-    block = F.pmod(F.xxhash64("node", F.lit("block")), F.greatest(count, F.lit(1)))
-    large = placed.where(f"nodes > {BLOCK}").withColumn("block", block)
-    all_others = F.sequence(F.lit(0).cast("bigint"), others - 1)
-    all_mains = F.when(
-        F.col("mains") > 0,
-        F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("mains") / BLOCK) - 1),
-    ).otherwise(F.array().cast("array<bigint>"))
-
-    def pair(one, kind, two, side):
-        return F.struct(
-            F.xxhash64("group", one, F.lit(kind), two).alias("unit"), side.alias("side")
-        )
-
-    own = F.col("block")
-    with_others = F.transform(all_others, lambda j: pair(
-        F.least(own, j), "others", F.greatest(own, j),
-        F.when(own == j, 0).when(own < j, 1).otherwise(2),
-    ))
-    with_mains = F.transform(all_mains, lambda k: pair(own, "mains", k, F.lit(1)))
-    as_main = F.transform(all_others, lambda i: pair(i, "mains", own, F.lit(2)))
-    at = F.when(F.col("main"), as_main).otherwise(F.concat(with_others, with_mains))
-    large = large.withColumn("at", F.explode(at))
-    columns = ["unit", "side", "group", "node"]
-    return small.select(*columns).unionByName(
-        large.select("at.unit", "at.side", "group", "node")
-    )
-
-
 def near_duplicates(
     docs: DataFrame, id_column: str, text: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -266,8 +222,8 @@ def near_duplicates(
     members = members.where(f"others <= {LARGE}").select("group", "node", "main").unionByName(
         tables.join(big, "node").select(F.col("bucket").alias("group"), "node", "main")
     )
-    units = 1 + members.count() // BLOCK
-    rows = _units(members.withColumn("units", F.lit(units))).join(sets, "node")
+    bins = 1 + members.count() // BLOCK
+    rows = block_pairs(members, BLOCK, bins).join(sets, "node")
     more = rows.groupBy("unit").applyInArrow(
         lambda table: _block_links(table, percent), "a binary, b binary"
     )
