@@ -326,3 +326,33 @@ QUERIES["campaign_ranking"] = _ranking(None)
 ORACLES["campaign_ranking"] = _RANKED_SQL
 QUERIES["campaign_top"] = _ranking(10)
 ORACLES["campaign_top"] = f"{_RANKED_SQL} WHERE rank <= 10"
+
+
+def model_base_share(spark, sf_dir):
+    """The model base with the stations as shares of the area's rows of the week."""
+    base = roles.base(spark, sf_dir, roles.SHARE_SPEC)
+    return rounded(base, *SPEC.means, *STATION_COLUMNS)
+
+
+QUERIES["model_base_share"] = model_base_share
+ORACLES["model_base_share"] = f"""WITH {roles.CLEANED_SQL}
+SELECT area, week, count(*) AS cases,
+       {", ".join(f"round(avg({m}), 8) AS {m}" for m in SPEC.means)},
+       {", ".join(f"round(avg(CASE WHEN station = '{v}' THEN 1.0 ELSE 0.0 END), 8) AS {n}"
+                  for v, n in SPEC.stations.items())},
+       'original' AS kind
+FROM cleaned GROUP BY area, week"""
+
+
+def undeclared_stations(spark, sf_dir):
+    """Case rows of stations without a column, when only two are declared."""
+    declared = {"ASIA": "st_asia", "EUROPE": "st_europe"}
+    return aggregate.undeclared_stations(
+        roles.cleaned(spark, sf_dir), "station", declared, weight=ROWS
+    )
+
+
+QUERIES["undeclared_stations"] = undeclared_stations
+ORACLES["undeclared_stations"] = f"""WITH {roles.CLEANED_SQL}
+SELECT station, count(*) AS n_rows FROM cleaned
+WHERE station NOT IN ('ASIA', 'EUROPE') GROUP BY station"""

@@ -34,11 +34,17 @@ def _small_model(rows):
 
 
 def split_hash(spark, sf_dir):
+    """Per area: its weeks, and how many marks they have got."""
     marked = learn.hash_split(roles.base(spark, sf_dir), ["area", "week"])
-    return marked.select("area", "week", "split")
+    return marked.groupBy("area").agg(
+        F.count_distinct("week").alias("n_weeks"), F.count_distinct("week", "split").alias("n_marks")
+    )
 
 
 QUERIES["split_hash"] = split_hash
+ORACLES["split_hash"] = f"""WITH {roles.CLEANED_SQL}
+SELECT area, count(DISTINCT week) AS n_weeks, count(DISTINCT week) AS n_marks
+FROM cleaned GROUP BY area"""
 
 
 def split_modulo(spark, sf_dir):
@@ -79,46 +85,98 @@ ORACLES["baseline_mse"] = f"""WITH {roles.BASE_SQL}
 SELECT round(var_pop(cases), 8) AS baseline_mse FROM base"""
 
 
+def _by_week(spark, sf_dir):
+    """Training rows and held-out rows by a split that SQL knows."""
+    marked = learn.modulo_split(_base(spark, sf_dir), "week")
+    rows = learn.training_rows(marked.filter("split = 'train'"), FEATURES, "cases")
+    return rows, marked.filter("split = 'test'")
+
+
 def train_gbt(spark, sf_dir):
-    """Hold-out predictions of a boosted model."""
-    rows, test = _training(spark, sf_dir)
-    return _small_model(rows).transform(test).select("area", "week", "cases", "prediction")
+    """Held-out rows per area, and how many of them a second seeded fit predicts the same."""
+    rows, test = _by_week(spark, sf_dir)
+    first = _small_model(rows).transform(test).drop("features")
+    both = _small_model(rows).transform(first.withColumnRenamed("prediction", "first"))
+    return both.groupBy("area").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("first") == F.col("prediction")).alias("n_equal"),
+    )
 
 
 QUERIES["train_gbt"] = train_gbt
+ORACLES["train_gbt"] = f"""WITH {roles.BASE_SQL}
+SELECT area, count(*) AS n_rows, count(*) AS n_equal FROM base WHERE week % 10 >= 7 GROUP BY area"""
 
 
 def _trained(spark, sf_dir):
-    return train.train(_base(spark, sf_dir), SPEC)
+    base = _base(spark, sf_dir)
+    return base, train.train(base, SPEC)
 
 
 def cv_grid(spark, sf_dir):
-    """Hold-out metrics of the best model of the grid."""
-    return _trained(spark, sf_dir).metrics
+    """Rows of the training and of the held-out share, and parameter sets with the best one."""
+    base, trained = _trained(spark, sf_dir)
+    held_out = trained.metrics.select("n_rows", F.expr("mse >= 0 AND mae >= 0").alias("measured"))
+    learned = learn.hash_split(base, ["area", "week"]).where("split = 'train'").agg(
+        F.count(F.lit(1)).alias("n_train")
+    )
+    sets = trained.report.agg(
+        F.count(F.lit(1)).alias("n_sets"), F.count_if("is_best").alias("n_best")
+    )
+    # Three tables of one row.
+    one = F.lit(1)
+    joined = held_out.withColumn("k", one).join(learned.withColumn("k", one), "k").join(
+        sets.withColumn("k", one), "k"
+    )
+    return joined.select(
+        (F.col("n_rows") + F.col("n_train")).alias("n_rows"), "n_sets", "n_best", "measured"
+    )
 
 
 def cv_report(spark, sf_dir):
-    return _trained(spark, sf_dir).report
+    """The parameter sets, and how many of all are the best."""
+    report = _trained(spark, sf_dir)[1].report
+    best = report.agg(F.count_if("is_best").alias("n_best"))
+    return report.select("params", best.scalar().alias("n_best"))
 
 
 QUERIES["cv_grid"] = cv_grid
+ORACLES["cv_grid"] = f"""WITH {roles.BASE_SQL}
+SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_sets, CAST(1 AS BIGINT) AS n_best,
+       true AS measured FROM base"""
 QUERIES["cv_report"] = cv_report
+ORACLES["cv_report"] = """
+SELECT 'maxDepth=' || depth || ', maxIter=10, subsamplingRate=' || rate AS params,
+       CAST(1 AS BIGINT) AS n_best
+FROM (VALUES ('3'), ('6')) d(depth), (VALUES ('0.5'), ('1.0')) r(rate)"""
 
 
 def feature_importance(spark, sf_dir):
+    """The features; their importances sum to 1 and the largest one is set to 100."""
     rows, _ = _training(spark, sf_dir)
-    return learn.feature_importance(_small_model(rows), rows)
+    found = learn.feature_importance(_small_model(rows), rows)
+    total = found.agg(F.round(F.sum("importance"), 6).alias("total"))
+    top = found.agg(F.max("relative").alias("top"))
+    return found.select("feature", total.scalar().alias("total"), top.scalar().alias("top"))
 
 
 QUERIES["feature_importance"] = feature_importance
+ORACLES["feature_importance"] = f"""
+SELECT feature, CAST(1 AS DOUBLE) AS total, CAST(100 AS DOUBLE) AS top
+FROM (VALUES {", ".join(f"('{f}')" for f in FEATURES)}) f(feature)"""
 
 
 def train_alternatives(spark, sf_dir):
-    rows, test = _training(spark, sf_dir)
-    return learn.compare_kinds(rows, test, FEATURES, "cases")
+    """The kinds of models with the rows they were measured on."""
+    rows, test = _by_week(spark, sf_dir)
+    compared = learn.compare_kinds(rows, test, FEATURES, "cases")
+    return compared.select("kind", "n_rows", F.expr("mse >= 0 AND mae >= 0").alias("measured"))
 
 
 QUERIES["train_alternatives"] = train_alternatives
+ORACLES["train_alternatives"] = f"""WITH {roles.BASE_SQL}
+SELECT kind, (SELECT count(*) FROM base WHERE week % 10 >= 7) AS n_rows, true AS measured
+FROM (VALUES {", ".join(f"('{k}')" for k in learn.REGRESSORS)}) k(kind)"""
 
 
 def model_roundtrip(spark, sf_dir):
@@ -175,27 +233,52 @@ JOIN (SELECT area, {", ".join(
       FROM request GROUP BY area) s ON r.area = s.area"""
 
 
+def request_base_share(spark, sf_dir):
+    """The same request with the stations as shares of the area's rows of the week."""
+    weather = roles.obs(spark, sf_dir).select("obs_station", "obs_date", *SPEC.measures)
+    base = score.request_base(weather, roles.areas(spark, sf_dir), roles.SHARE_SPEC)
+    return rounded(base, *SPEC.means, *SPEC.stations.values())
+
+
+QUERIES["request_base_share"] = request_base_share
+ORACLES["request_base_share"] = f"""WITH {_REQUEST_SQL}
+SELECT area, week, count(*) AS n_observations,
+       {", ".join(f"round(avg({m}), 8) AS {m}" for m in SPEC.means)},
+       {", ".join(f"round(avg(CASE WHEN station = '{v}' THEN 1.0 ELSE 0.0 END), 8) AS {n}"
+                  for v, n in SPEC.stations.items())}
+FROM request GROUP BY area, week"""
+
+
 def score_batch(spark, sf_dir):
-    """All station observations scored by a model of the base, and a file of features."""
-    rows, test = _training(spark, sf_dir)
+    """A request scored as a whole and as a file of its features: rows and equal predictions per area."""
+    rows, _ = _training(spark, sf_dir)
     model = _small_model(rows)
     weather = roles.obs(spark, sf_dir).select("obs_station", "obs_date", *SPEC.measures)
-    predicted = score.score(weather, roles.areas(spark, sf_dir), model, SPEC)
-    shuffled = test.select("area", "week", *reversed(FEATURES))
+    areas = roles.areas(spark, sf_dir)
+    base = tables.written(score.request_base(weather, areas, SPEC), "request")
+    predicted = score.score(weather, areas, model, SPEC).select("area", "week", "cases")
+    shuffled = base.select("area", "week", *reversed(FEATURES))
     from_file = score.score_features(shuffled, model, FEATURES, keep=["area", "week"])
-    return predicted.select("area", "week", F.col("cases").alias("prediction"), "kind").unionByName(
-        from_file.select("area", "week", "prediction", F.lit("file").alias("kind"))
+    both = predicted.join(from_file, ["area", "week"])
+    return both.groupBy("area").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("week").alias("n_weeks"),
+        # Means of the same numbers can differ in their last digits.
+        F.count_if(F.abs(F.col("cases") - F.col("prediction")) < 1e-6).alias("n_equal"),
     )
 
 
 QUERIES["score_batch"] = score_batch
+ORACLES["score_batch"] = f"""WITH {_REQUEST_SQL}
+SELECT area, count(DISTINCT week) AS n_rows, count(DISTINCT week) AS n_weeks,
+       count(DISTINCT week) AS n_equal
+FROM request GROUP BY area"""
 
 
 def training_publish(spark, sf_dir):
     """Score, publish into the stored base twice, and count what is stored."""
     base = _base(spark, sf_dir)
     path = scratch_path(spark, "published")
-    tables.overwrite_folder(score.stored_rows(base, SPEC), path, ["kind"])
+    score.store(base, path, SPEC)
     model = _small_model(learn.training_rows(base, FEATURES, "cases"))
     weather = roles.obs(spark, sf_dir).select("obs_station", "obs_date", *SPEC.measures)
     predicted = score.score(weather, roles.areas(spark, sf_dir), model, SPEC)

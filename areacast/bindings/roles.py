@@ -5,6 +5,8 @@ For each role there is a DataFrame and the same rows as an SQL common table expr
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,7 +44,9 @@ SPEC = BaseSpec(
         UNKNOWN: "st_unknown",
     },
     aliases={"MIDDLE EAST": "MIDDLE_EAST"},
+    station_encoding="count",
 )
+SHARE_SPEC = replace(SPEC, station_encoding="share")
 OBS_MEASURES = ["rain", *SPEC.measures]
 STATUS_OF = {"dengue": "F", "chikungunya": "O", "zika": "P"}
 
@@ -328,9 +332,9 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned_cases(enriched(spark, sf_dir), SPEC)
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base(spark: SparkSession, sf_dir: str, spec: BaseSpec = SPEC) -> DataFrame:
     return training_base(
-        cases(spark, sf_dir), areas(spark, sf_dir), obs(spark, sf_dir), SPEC
+        cases(spark, sf_dir), areas(spark, sf_dir), obs(spark, sf_dir), spec
     )
 
 

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, iso_day, rounded, table
+from areacast.fixed import PREDICTED
 from areacast.functions import to_decimal_comma
+from areacast.operators import learn
 from areacast.operators.clean import parse_dates, parse_measures
+from areacast.plans import score
 from areacast.plans.training_base import training_means
 from areacast.session import scratch_path
-from areacast.sources import delimited
+from areacast.sources import delimited, tables
 from areacast.streaming import arrivals, rollup
 
 QUERIES = {}
@@ -89,6 +92,57 @@ SELECT area, week, count(*) AS n_rows,
 FROM rows_scored GROUP BY area, week"""
 
 
+def stream_publish(spark, sf_dir):
+    """Events that arrive in two parts, scored by area and week and published: rows equal to the batch's."""
+    drop, path = scratch_path(spark, "arrivals"), scratch_path(spark, "published")
+    kept, progress = scratch_path(spark, "rows"), scratch_path(spark, "progress")
+    spec, areas = roles.SHARE_SPEC, roles.areas(spark, sf_dir)
+    base = tables.written(roles.base(spark, sf_dir, spec), "base")
+    score.store(base, path, spec)
+    rows = learn.training_rows(base, spec.features, spec.label)
+    model = learn.fit(rows, spec.features, learn.boosting(spec.label, maxIter=5, maxDepth=3))
+    means = training_means(roles.enriched(spark, sf_dir), spec).first().asDict()
+    events = _station_of_user(spark, sf_dir).select(
+        "event_id", F.col("r_name").alias("obs_station"), F.col("ts").cast("date").alias("obs_date"),
+        *[F.col("value").alias(m) for m in spec.measures],
+    )
+    events = tables.written(events, "events")
+    weather = events.drop("event_id")
+    for part in (0, 1):
+        events.where(F.pmod("event_id", F.lit(2)) == part).drop("event_id").write.mode(
+            "append"
+        ).parquet(drop)
+        stream = spark.readStream.schema(weather.schema).parquet(drop)
+        arrivals.publish_arrivals(stream, areas, model, means, kept, path, progress, spec)
+    stored = tables.read_folder(spark, path, score.base_schema(spec)).where(
+        F.col(spec.kind) == PREDICTED
+    )
+    batch = score.score(weather, areas, model, spec, means).select(
+        "area", F.col("week").cast("string").alias("week"), F.col("cases").alias("expected")
+    )
+    both = stored.join(batch, ["area", "week"], "full")
+    return both.groupBy("area").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(F.col("cases") - F.col("expected")) < 1e-6).alias("n_equal"),
+    )
+
+
+QUERIES["stream_publish"] = stream_publish
+ORACLES["stream_publish"] = f"""WITH {roles.AREAS_SQL},
+arrived AS (
+  SELECT r_name AS obs_station, CAST(ts AS DATE) AS obs_date
+  FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
+       JOIN region ON n_regionkey = r_regionkey
+),
+weeks AS (
+  SELECT upper(coalesce(dim_area, 'SEM_INFORMACAO')) AS area,
+         extract(isoyear FROM obs_date) * 100 + extract(week FROM obs_date) AS week
+  FROM arrived w LEFT JOIN areas a ON w.obs_station = a.station
+)
+SELECT area, count(DISTINCT week) AS n_rows, count(DISTINCT week) AS n_equal
+FROM weeks GROUP BY area"""
+
+
 def stream_weekly_rollup(spark, sf_dir):
     """Weeks that the watermark has closed, per type of event."""
     schema = table(spark, sf_dir, "events").schema

@@ -9,8 +9,9 @@ from areacast.fixed import ACCENTED, LABEL_SEPARATOR, UNACCENTED, UNKNOWN
 
 
 def decimal_comma(value: Column) -> Column:
-    """``'1,5'`` -> 1.5; text that is no number gives null (see :func:`is_reject`)."""
-    return F.replace(value, F.lit(","), F.lit(".")).try_cast("double")
+    """``'1,5'`` -> 1.5; text that is no finite number gives null (see :func:`is_reject`)."""
+    number = F.replace(value, F.lit(","), F.lit(".")).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_decimal_comma(value: Column, digits: int = 2) -> Column:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from areacast.fixed import AREA_HEADERS, CASE_SOURCES
 from areacast.operators import learn
+from areacast.operators.aggregate import undeclared_stations
+from areacast.operators.joins import fanout_audit
 from areacast.operators.schema import normalize_headers
 from areacast.plans import score as scoring
 from areacast.plans import train as training
@@ -28,7 +30,7 @@ from areacast.sources import delimited, tables
 
 def read_areas(spark: SparkSession, path: str, sep: str, spec: BaseSpec) -> DataFrame:
     named = normalize_headers(delimited.read_by_header(spark, path, sep), AREA_HEADERS)
-    types = {spec.dim_area: "string", spec.population: "int", spec.station: "string"}
+    types = {spec.dim_area: "string", spec.population: "double", spec.station: "string"}
     return building.prepare_areas(delimited.typed(named, types), spec)
 
 
@@ -47,6 +49,7 @@ def build_base(
     fanout: str = "keep",
     unified_path: str | None = None,
     spec: BaseSpec = BaseSpec(),
+    weather_fanout: str = "keep",
 ) -> dict[str, int]:
     """Write the base, partitioned by kind of row, and the means; give the audit counts.
 
@@ -75,13 +78,23 @@ def build_base(
     areas = read_areas(spark, areas_path, "|", spec)
     weather = read_weather(spark, weather_path, "|", spec)
     enriched = tables.written(
-        building.enriched_cases(cases, areas, weather, spec, fanout), "enriched"
+        building.enriched_cases(cases, areas, weather, spec, fanout, weather_fanout), "enriched"
     )
     means = building.training_means(enriched, spec)
     means.write.mode("overwrite").parquet(means_path)
-    base = building.base_of(building.cleaned_cases(enriched, spec), spec)
-    tables.overwrite_folder(scoring.stored_rows(base, spec), base_path, [spec.kind])
-    return seen.get
+    # The stored means fill the gaps: base and means agree, and the rows are not read again for them.
+    means = spark.read.schema(means.schema).parquet(means_path)
+    cleaned = building.cleaned_cases(enriched, spec, means)
+    built = Observation("base")
+    base = building.base_of(cleaned, spec).observe(built, F.count(F.lit(1)).alias("n_base_rows"))
+    scoring.store(base, base_path, spec)
+    undeclared = undeclared_stations(cleaned, spec.station, spec.stations, weight=building.ROWS)
+    unnamed = undeclared.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).first()["n"]
+    repeated = {
+        "n_repeated_areas": fanout_audit(areas, [spec.dim_area]).count(),
+        "n_repeated_weather": fanout_audit(weather, [spec.obs_station, spec.obs_date]).count(),
+    }
+    return {**seen.get, **built.get, **repeated, "n_undeclared_station": unnamed}
 
 
 def train(
@@ -90,7 +103,7 @@ def train(
 ) -> training.Trained:
     base = tables.read_folder(spark, base_path, scoring.base_schema(spec))
     trained = training.train(base, spec, **options)
-    learn.save_model(trained.model, model_path)
+    learn.save_model(trained.model, model_path, spec.station_encoding)
     if report_path:
         for name in ("report", "metrics", "importance"):
             delimited.write_delimited(
@@ -113,7 +126,7 @@ def score(
     """Score request files and publish the predictions into the base."""
     areas = read_areas(spark, areas_path, ";", spec)
     weather = read_weather(spark, weather_path, ";", spec)
-    model = learn.load_model(model_path, spec.features)
+    model = learn.load_model(model_path, spec.features, spec.station_encoding)
     means = spark.read.parquet(means_path) if means_path else None
     predicted = scoring.score(weather, areas, model, spec, means, week_rule)
     scoring.publish(predicted, base_path, spec, mode)
@@ -130,10 +143,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     build.add_argument("--cases", action="append", required=True, metavar="SOURCE=PATH")
     build.add_argument("--encoding", action="append", default=[], metavar="SOURCE=NAME")
     build.add_argument("--fanout", choices=("keep", "first", "error"), default="keep")
+    build.add_argument("--weather-fanout", choices=("keep", "first", "error"), default="keep")
     build.add_argument("--unified")
     learned = jobs.add_parser("train")
     learned.add_argument("--report")
     learned.add_argument("--folds", type=int, default=3)
+    learned.add_argument("--grid", choices=tuple(learn.GRIDS), default="default")
     scored = jobs.add_parser("score")
     scored.add_argument("--mode", choices=("replace_by_key", "union_distinct"),
                         default="replace_by_key")
@@ -145,23 +160,29 @@ def main(argv: Sequence[str] | None = None) -> None:
         job.add_argument("--model", required=True)
     for job in (build, learned, scored):
         job.add_argument("--base", required=True)
+        job.add_argument("--stations", choices=("share", "count"), default="share",
+                         help="how the station columns are encoded")
     build.add_argument("--means", required=True)
     scored.add_argument("--means")
 
     args = parser.parse_args(argv)
     spark = build_session(f"areacast-{args.job}")
+    spec = BaseSpec(station_encoding=args.stations)
     if args.job == "build-base":
         counts = build_base(
             spark, _pairs(args.cases), args.areas, args.weather, args.base, args.means,
-            _pairs(args.encoding), args.fanout, args.unified,
+            _pairs(args.encoding), args.fanout, args.unified, spec, args.weather_fanout,
         )
         print(json.dumps(counts))
     elif args.job == "train":
-        train(spark, args.base, args.model, args.report, folds=args.folds)
+        train(
+            spark, args.base, args.model, args.report, spec, folds=args.folds,
+            grid=learn.GRIDS[args.grid],
+        )
     else:
         score(
             spark, args.areas, args.weather, args.model, args.base, args.means, args.mode,
-            args.week_rule,
+            args.week_rule, spec,
         )
 
 

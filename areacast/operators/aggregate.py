@@ -102,12 +102,15 @@ def model_base(
     label: str = "resposta",
     stations: Mapping[str, str] = STATIONS,
     weight: str | None = None,
+    encoding: str = "count",
 ) -> DataFrame:
-    """Area-week base with the station counts of the area, from one pass over the rows.
+    """Area-week base with the station columns, from one pass over the rows.
 
-    Same result as ``attach_station_counts(area_week_base, station_pivot)``: the counts
-    are taken per area and week together with the means and summed over the weeks of the
-    area in a window, so the rows are read once. A window partition holds one area's weeks.
+    ``count``: the station counts of the area over all weeks, the same result as
+    ``attach_station_counts(area_week_base, station_pivot)``. The counts are taken per area and week together
+    with the means and summed over the weeks of the area in a window, so the rows are read
+    once. A window partition holds one area's weeks.
+    ``share``: the shares of :func:`station_share`, which need no other week.
     """
     one = F.lit(1) if weight is None else F.col(weight)
     weekly = df.groupBy(area, week).agg(
@@ -115,6 +118,10 @@ def model_base(
         *[_mean(m, weight).alias(m) for m in measures],
         *[F.sum(F.when(F.col(station) == v, one)).alias(n) for v, n in stations.items()],
     )
+    if encoding == "share":
+        return weekly.withColumns({
+            n: F.coalesce(F.col(n) / F.col(label), F.lit(0.0)) for n in stations.values()
+        })
     all_weeks = Window.partitionBy(area)
     return weekly.withColumns({
         n: F.coalesce(F.sum(n).over(all_weeks).cast("double"), F.lit(0.0))
@@ -122,6 +129,15 @@ def model_base(
     })
 
 
+def undeclared_stations(
+    df: DataFrame, station: str, stations: Mapping[str, str] = STATIONS, count: str = "n_rows",
+    weight: str | None = None,
+) -> DataFrame:
+    """Rows per station that has no column of its own, the missing station included."""
+    known = F.coalesce(F.col(station).isin(list(stations)), F.lit(False))
+    return df.where(~known).groupBy(station).agg(_rows(weight).alias(count))
+
+
 def total_by(df: DataFrame, key: str, value: str, total: str | None = None) -> DataFrame:
     """Sum of a value per key."""
     return df.groupBy(key).agg(F.sum(value).alias(total or value))

@@ -53,22 +53,20 @@ def sentinel_fill(df: DataFrame, names: Sequence[str], unknown: str = UNKNOWN) -
     return df.withColumns({n: name_or_unknown(F.col(n), unknown) for n in names})
 
 
-def clean_names(
-    df: DataFrame, names: Sequence[str], aliases: Mapping[str, str] = ALIASES
-) -> DataFrame:
-    """Aliases, then sentinel and upper case."""
-    return sentinel_fill(alias_values(df, names, aliases), names)
+def _given(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def column_means(df: DataFrame, names: Sequence[str], weight: str | None = None) -> DataFrame:
-    """One row with the mean of the non-null values of each column.
+    """One row with the mean of the given values of each column; NaN counts as missing.
 
     With ``weight`` each row counts as that many rows, so rows that were collapsed
     to counts give the mean over the rows they stand for.
     """
 
     def mean(name: str) -> Column:
-        value = F.col(name).cast("double")
+        value = _given(name)
         if weight is None:
             return F.avg(value)
         weighed = F.when(value.isNotNull(), F.col(weight))
@@ -83,7 +81,7 @@ def impute_mean(
     means: DataFrame | Mapping[str, float] | None = None,
     weight: str | None = None,
 ) -> DataFrame:
-    """Fill nulls with the column mean.
+    """Fill nulls and NaN with the column mean.
 
     The means come from the rows themselves, or from ``means``: the one row of a saved
     :func:`column_means`, or plain numbers. They reach the rows as one scalar subquery
@@ -98,7 +96,7 @@ def impute_mean(
         mean_of = {n: packed.getField(n) for n in names}
     return df.withColumns({
         n: F.coalesce(
-            F.col(n).cast("double"),
+            _given(n),
             mean_of[n],
             F.raise_error(F.lit(f"column {n} has no value to take a mean of")).cast("double"),
         )

@@ -92,10 +92,13 @@ def enrich_weather(
     day: str = "dt_diagnostico_sintoma",
     dim_station: str = "nome_estacao",
     dim_day: str = "data",
+    fanout: str = "keep",
     **hot,
 ) -> DataFrame:
     """Cases with the measures of their station on their day; both days are dates."""
-    return lookup_left(cases, weather, {station: dim_station, day: dim_day}, **hot)
+    return lookup_left(
+        cases, weather, {station: dim_station, day: dim_day}, fanout=fanout, **hot
+    )
 
 
 def expand_to_areas(

@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areacast.sources.tables import written
@@ -29,10 +29,11 @@ def hash_split(
 ) -> DataFrame:
     """Mark each row ``train`` or ``test`` by a hash of its key.
 
-    The mark depends on the key alone, not on partitions or row order, so it is the same
-    after a retry and in every run.
+    The mark depends on the text of the key alone, not on its type, partitions or row order, so it is the
+    same after a retry, in every run, and for stored and computed bases.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(1_000_000))
+    texts = [F.col(k).cast("string") for k in keys]
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *texts), F.lit(1_000_000))
     is_train = bucket < int(train_share * 1_000_000)
     return df.withColumn(name, F.when(is_train, "train").otherwise("test"))
 
@@ -81,6 +82,7 @@ SLOW_GRID = {
     "stepSize": [0.01],
     "minInstancesPerNode": [5],
 }
+GRIDS = {"default": GRID, "slow": SLOW_GRID}
 
 
 def boosting_grid(estimator: GBTRegressor, grid: Mapping[str, Sequence] = GRID) -> list:
@@ -118,15 +120,16 @@ def cross_validate(
 
 
 def cv_report(model: CrossValidatorModel, rows: DataFrame) -> DataFrame:
-    """Mean metric and twice its standard deviation per parameter set; best one marked."""
+    """Mean metric and twice its standard deviation per parameter set; the best one, the first of equal ones,
+    is marked."""
     larger_better = model.getEvaluator().isLargerBetter()
-    best = (max if larger_better else min)(model.avgMetrics)
+    best = model.avgMetrics.index((max if larger_better else min)(model.avgMetrics))
     lines = []
-    for params, mean, std in zip(
+    for number, (params, mean, std) in enumerate(zip(
         model.getEstimatorParamMaps(), model.avgMetrics, model.stdMetrics, strict=True
-    ):
+    )):
         shown = ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda i: i[0].name))
-        lines.append((shown, float(mean), 2 * float(std), bool(mean == best)))
+        lines.append((shown, float(mean), 2 * float(std), number == best))
     return rows.sparkSession.createDataFrame(
         lines, "params string, mean_metric double, spread double, is_best boolean"
     )
@@ -211,10 +214,10 @@ def compare_kinds(
     test: DataFrame,
     features: Sequence[str],
     label: str,
-    kinds: Sequence[str] = (*REGRESSORS, *CLASSIFIERS),
+    kinds: Sequence[str] = tuple(REGRESSORS),
     seed: int = SEED,
 ) -> DataFrame:
-    """Metrics of each kind on the test rows."""
+    """Metrics of each kind on the test rows; the kinds that take counts as classes on request."""
     reports = []
     for kind in kinds:
         model = fit_kind(train, features, label, kind, seed)
@@ -223,13 +226,26 @@ def compare_kinds(
     return reduce(DataFrame.unionByName, reports)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: PipelineModel, path: str, encoding: str | None = None) -> None:
+    """Save a pipeline, and with it how the station columns it learned from are encoded."""
     model.write().overwrite().save(path)
+    if encoding is not None:
+        spark = SparkSession.active()
+        spark.createDataFrame([(encoding,)], "encoding string").coalesce(1).write.mode(
+            "overwrite"
+        ).json(f"{path}/encoding")
 
 
-def load_model(path: str, features: Sequence[str] | None = None) -> PipelineModel:
-    """Load a pipeline; with ``features`` its assembler has to take exactly these."""
+def load_model(
+    path: str, features: Sequence[str] | None = None, encoding: str | None = None
+) -> PipelineModel:
+    """Load a pipeline; with ``features`` its assembler has to take exactly these, with ``encoding`` it
+    has to be saved with that one."""
     model = PipelineModel.load(path)
+    if encoding is not None:
+        stored = SparkSession.active().read.schema("encoding string").json(f"{path}/encoding").first()
+        if stored["encoding"] != encoding:
+            raise ValueError(f"the model takes stations as {stored['encoding']}, not {encoding}")
     if features is not None and model.stages[0].getInputCols() != list(features):
         raise ValueError(f"the model takes the features {model.stages[0].getInputCols()}")
     return model

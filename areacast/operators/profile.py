@@ -232,10 +232,14 @@ def headline_facts(
 
 
 def _pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both are given; null when one of them is constant."""
+    """Correlation over the rows where both are given; null when one of them is constant.
+
+    NaN counts as missing, as in the other profiles.
+    """
+    x, y = (f"nullif(CAST(`{c}` AS double), double('NaN'))" for c in (a, b))
     return F.expr(
-        f"covar_pop(`{a}`, `{b}`) / nullif("
-        f"stddev_pop(if(`{b}` IS NULL, NULL, `{a}`)) * stddev_pop(if(`{a}` IS NULL, NULL, `{b}`))"
+        f"covar_pop({x}, {y}) / nullif("
+        f"stddev_pop(if({y} IS NULL, NULL, {x})) * stddev_pop(if({x} IS NULL, NULL, {y}))"
         ", 0)"
     )
 

@@ -16,7 +16,12 @@ from areacast.operators.joins import expand_to_areas
 from areacast.operators.merge import as_base_rows, merge_predictions
 from areacast.plans.spec import BaseSpec
 from areacast.sources.requests import accepted, check_requests
-from areacast.sources.tables import overwrite_partitions, read_folder, written
+from areacast.sources.tables import (
+    overwrite_folder,
+    overwrite_partitions,
+    read_folder,
+    written,
+)
 
 WEEK_KEYS = {"iso": week_key_iso, "calendar": week_key_calendar}
 
@@ -69,12 +74,25 @@ def request_base(
 
 
 def _base_of(rows: DataFrame, spec: BaseSpec, means) -> DataFrame:
-    cleaned = clean_request(rows, spec, means)
+    return grouped(clean_request(rows, spec, means), spec)
+
+
+def grouped(cleaned: DataFrame, spec: BaseSpec = BaseSpec()) -> DataFrame:
+    """Cleaned request rows per area and week."""
     return model_base(
-        cleaned, spec.area, spec.week, spec.station, spec.means, "n_observations", spec.stations
+        cleaned, spec.area, spec.week, spec.station, spec.means, "n_observations", spec.stations,
+        encoding=spec.station_encoding,
     )
 
 
+def score_rows(
+    cleaned: DataFrame, model: PipelineModel, spec: BaseSpec = BaseSpec()
+) -> DataFrame:
+    """Predicted cases per area and week of rows that are cleaned already."""
+    scored = model.transform(grouped(cleaned, spec))
+    return as_base_rows(scored, spec.base_columns, spec.label, kind=spec.kind)
+
+
 def score(
     weather: DataFrame,
     areas: DataFrame,
@@ -119,19 +137,30 @@ def publish(
     spec: BaseSpec = BaseSpec(),
     mode: str = "replace_by_key",
 ) -> None:
-    """Merge predictions into a base folder that is partitioned by kind of row.
+    """Merge predictions into a base folder as :func:`store` writes it.
 
-    Only the partition of predictions is replaced. Its new rows are written to the work
-    folder first, because they come in part from the partition itself.
+    Only the weeks that the predictions touch are read and replaced, so the work follows the request and not
+    the history. The predictions are scored once, and the new rows are written to the work folder before
+    they replace partitions that they come from.
     """
     spark = predictions.sparkSession
+    scored = written(stored_rows(predictions, spec), "scored")
+    weeks = scored.select(F.col(spec.week).alias("_week")).distinct()
     history = read_folder(spark, base_path, base_schema(spec))
-    old = history.filter(F.col(spec.kind) == PREDICTED)
+    old = history.filter(F.col(spec.kind) == PREDICTED).join(
+        weeks, F.col(spec.week).eqNullSafe(F.col("_week")), "left_semi"
+    )
     merged = merge_predictions(
-        old, predictions, [spec.area, spec.week], mode, spec.week, spec.label, spec.kind
+        old, scored, [spec.area, spec.week], mode, spec.week, spec.label, spec.kind
     )
     staged = written(stored_rows(merged, spec), "predictions")
-    overwrite_partitions(staged, base_path, [spec.kind])
+    overwrite_partitions(staged.repartition(spec.week), base_path, [spec.kind, spec.week])
+
+
+def store(base: DataFrame, base_path: str, spec: BaseSpec = BaseSpec()) -> None:
+    """Replace a base folder, partitioned by kind of row and week, a file per week."""
+    rows = stored_rows(base, spec).repartition(spec.week)
+    overwrite_folder(rows, base_path, [spec.kind, spec.week])
 
 
 def stored_rows(base: DataFrame, spec: BaseSpec = BaseSpec()) -> DataFrame:

@@ -25,6 +25,13 @@ class BaseSpec:
     measures: tuple[str, ...] = ("temp_maxima", "temp_minima", "temp_comp_media")
     stations: Mapping[str, str] = field(default_factory=lambda: dict(STATIONS))
     aliases: Mapping[str, str] = field(default_factory=lambda: dict(ALIASES))
+    # What a station column holds: the share of the area's rows of the week, or the area's rows of the
+    # whole period. Training, batch, forms and streams follow it, and a saved model names it.
+    station_encoding: str = "share"
+
+    def __post_init__(self):
+        if self.station_encoding not in ("share", "count"):
+            raise ValueError(f"station_encoding is share or count, not {self.station_encoding}")
 
     @property
     def means(self) -> list[str]:

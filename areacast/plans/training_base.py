@@ -59,17 +59,20 @@ def enriched_cases(
     weather: DataFrame,
     spec: BaseSpec = BaseSpec(),
     fanout: str = "keep",
+    weather_fanout: str = "keep",
 ) -> DataFrame:
     """Distinct (area, week, onset day) with their number of cases, area and weather.
 
     Cases are counted before the joins. A hot area, or the missing one, then takes part in
     the joins with one row per day and not with all its cases, and the means over case rows
-    follow from the counts.
+    follow from the counts. ``fanout`` and ``weather_fanout`` say what several rows of one area, or of one
+    station and day, do: multiply the cases, give the first row only, or raise an error.
     """
     counted = collapse(cases, [spec.area, spec.week, spec.onset], ROWS)
     with_area = enrich_area(counted, areas, spec.area, spec.dim_area, fanout)
     return enrich_weather(
-        with_area, weather, spec.station, spec.onset, spec.obs_station, spec.obs_date
+        with_area, weather, spec.station, spec.onset, spec.obs_station, spec.obs_date,
+        weather_fanout,
     )
 
 
@@ -93,14 +96,16 @@ def training_base(
     weather: DataFrame,
     spec: BaseSpec = BaseSpec(),
     fanout: str = "keep",
+    weather_fanout: str = "keep",
 ) -> DataFrame:
     """The model base: one lazy plan that reads the cases once."""
-    enriched = enriched_cases(cases, areas, weather, spec, fanout)
+    enriched = enriched_cases(cases, areas, weather, spec, fanout, weather_fanout)
     return base_of(cleaned_cases(enriched, spec), spec)
 
 
 def base_of(cleaned: DataFrame, spec: BaseSpec = BaseSpec()) -> DataFrame:
     base = model_base(
-        cleaned, spec.area, spec.week, spec.station, spec.means, spec.label, spec.stations, ROWS
+        cleaned, spec.area, spec.week, spec.station, spec.means, spec.label, spec.stations, ROWS,
+        spec.station_encoding,
     )
     return base.withColumn(spec.kind, F.lit(OBSERVED)).select(*spec.base_columns)

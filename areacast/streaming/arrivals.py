@@ -1,8 +1,9 @@
 """Scoring of files as they arrive.
 
-Cleaning, the expansion to areas and the model are row-wise, so they run inside the
-streaming query itself and the file sink makes the result exactly-once. Means and model
-are fixed artefacts of training: a stream has no mean of its own.
+Cleaning and the expansion to areas are row-wise, so they run inside the streaming query itself. Means
+and model are fixed artefacts of training: a stream has no mean of its own. A prediction is one of an
+area and week: :func:`publish_arrivals` keeps the cleaned rows by week and scores the weeks that a batch
+touches anew, so a week that arrives in parts ends as if it had come at once.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from areacast.plans.score import clean_request, request_rows
+from areacast.plans.score import clean_request, publish, request_rows, score_rows
 from areacast.plans.spec import BaseSpec
 
 
@@ -45,6 +46,48 @@ def score_arrivals(
     return model.transform(arrival_rows(weather, areas, means, spec, week_rule)).drop("features")
 
 
+def publish_arrivals(
+    weather: DataFrame,
+    areas: DataFrame,
+    model: PipelineModel,
+    means: Mapping[str, float],
+    rows_path: str,
+    base_path: str,
+    checkpoint: str,
+    spec: BaseSpec = BaseSpec(),
+    week_rule: str = "iso",
+    wait: bool = True,
+) -> StreamingQuery:
+    """Score what has arrived since the last run per area and week, and publish it into the base.
+
+    Each batch has a folder of its own under ``rows_path`` and replaces it when it is repeated, and publishing
+    replaces predictions by key: a batch that runs twice leaves what it leaves once.
+    """
+    rows = clean_request(request_rows(weather, areas, spec, week_rule), spec, means)
+    rows = rows.select(spec.area, spec.station, spec.week, *spec.means)
+    schema = rows.schema
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{rows_path}/batch={number}")
+        arrived = spark.read.schema(schema).parquet(f"{rows_path}/batch={number}")
+        weeks = arrived.select(F.col(spec.week).alias("_week")).distinct()
+        so_far = spark.read.schema(schema).parquet(rows_path).join(
+            weeks, F.col(spec.week).eqNullSafe(F.col("_week")), "left_semi"
+        )
+        publish(score_rows(so_far, model, spec), base_path, spec)
+
+    query = (
+        rows.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(each)
+        .start()
+    )
+    if wait:
+        query.awaitTermination()
+    return query
+
+
 def to_folder(stream: DataFrame, path: str, checkpoint: str, wait: bool = True) -> StreamingQuery:
     """Process what has arrived since the last run into a parquet folder, then stop."""
     query = (

@@ -22,7 +22,7 @@ from areacast.plans.training_base import (
     unified_cases,
 )
 
-SPEC = BaseSpec()
+SPEC = BaseSpec(station_encoding="count")
 
 
 @pytest.fixture(scope="module")

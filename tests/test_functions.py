@@ -77,6 +77,6 @@ def test_names(spark):
     ]
     assert values(spark, [("Ação É",)], "n string", fn.fold_accents(F.col("n"))) == ["Acao E"]
     df = spark.createDataFrame([("CABROBÓ",), ("RECIFE",), (None,)], "s string")
-    assert [r[0] for r in clean.clean_names(df, ["s"]).collect()] == [
+    assert [r[0] for r in clean.sentinel_fill(clean.alias_values(df, ["s"]), ["s"]).collect()] == [
         "CABROBO", "RECIFE", "SEM_INFORMACAO"
     ]

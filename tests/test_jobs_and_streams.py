@@ -7,7 +7,7 @@ from areacast import jobs
 from areacast.operators import learn
 from areacast.plans import score
 from areacast.plans.spec import BaseSpec
-from areacast.plans.training_base import prepare_weather
+from areacast.plans.training_base import enriched_cases, prepare_weather
 from areacast.sources import delimited, requests, tables
 from areacast.streaming import arrivals, rollup
 from tests.conftest import rows
@@ -29,7 +29,7 @@ def folder(spark, tmp_path_factory):
                 for d in days for name in ("RECIFE", "CABROBÓ")]
     (root / "weather.csv").write_text("\n".join(weather) + "\n")
     dengue = ["nu_notificacao;no_bairro_residencia;ds_semana_notificacao;dt_diagnostico_sintoma;febre"]
-    dengue += [f"{i};{['COHAB', 'AFLITOS'][i % 2]};{201605 + i % 4};{d:02}-02-2016;1"
+    dengue += [f"{i};{['COHAB', 'AFLITOS'][i % 2]};{201605 + i % 20};{d:02}-02-2016;1"
                for i, d in enumerate(list(days) * 3)]
     dengue += ["999;ÁGUA FRIA;201605;31-02-2016;1"]
     (root / "dengue.csv").write_bytes(("\n".join(dengue) + "\n").encode("latin-1"))
@@ -51,17 +51,32 @@ def base_of(spark, root):
     return tables.read_folder(spark, str(root / "base"), score.base_schema(SPEC))
 
 
+def base_of_counts(spark, root):
+    """The same base with the stations as counts."""
+    count = BaseSpec(station_encoding="count")
+    jobs.build_base(
+        spark, {"dengue": str(root / "dengue.csv"), "zika": str(root / "zika.csv")},
+        str(root / "areas.csv"), str(root / "weather.csv"), str(root / "counted"), str(root / "means2"),
+        encodings={"dengue": "ISO-8859-1"}, spec=count,
+    )
+    return tables.read_folder(spark, str(root / "counted"), score.base_schema(count))
+
+
 def test_build_job(spark, folder):
     root, counts = folder
     assert counts == {
-        "n_cases": 87, "n_without_area": 1, "n_without_day": 1, "n_without_week": 0
+        "n_cases": 87, "n_without_area": 1, "n_without_day": 1, "n_without_week": 0,
+        "n_base_rows": 23, "n_repeated_areas": 1, "n_repeated_weather": 0,
+        "n_undeclared_station": 0,
     }
     base = base_of(spark, root)
     # 42 COHAB cases and one of zika fan out over two stations
     per_area = {r[SPEC.area]: r.n for r in base.groupBy(SPEC.area).agg(
         F.sum(SPEC.label).alias("n")).collect()}
     assert per_area == {"COHAB": 86, "AFLITOS": 42, "ÁGUA FRIA": 1, "SEM_INFORMACAO": 1}
-    assert base.filter(F.col(SPEC.area) == "COHAB").select("estacao_cabrobo").first()[0] == 43
+    assert base.filter(F.col(SPEC.area) == "COHAB").select("estacao_cabrobo").first()[0] == 0.5
+    counted = base_of_counts(spark, root)
+    assert counted.filter(F.col(SPEC.area) == "COHAB").select("estacao_cabrobo").first()[0] == 43
     unified = spark.read.parquet(str(root / "unified"))
     assert unified.count() == 87
     assert {"nu_notificacao", "febre", "notificacao_ano", "zika"} <= set(unified.columns)
@@ -100,7 +115,7 @@ def test_train_and_score_jobs(spark, folder):
     assert rows(stored.filter("ds_tipo_base = 'original'")) == observed
     (predicted,) = stored.filter("ds_tipo_base = 'previsto'").collect()
     assert (predicted[SPEC.area], predicted[SPEC.week]) == ("COHAB", "201709")
-    assert predicted.estacao_recife == 2
+    assert predicted.estacao_recife == 1
     means = spark.read.parquet(str(root / "means")).first()
     assert predicted.temp_maxima == pytest.approx((35 + means.temp_maxima) / 2)
 
@@ -187,6 +202,82 @@ def test_arrivals_are_scored_once_and_as_in_batch(spark, tmp_path):
     assert stored.filter("estacao_cabrobo = 1").select("temp_maxima").first()[0] == 31.0
 
 
+def test_a_week_in_two_batches_is_published_as_in_batch(spark, tmp_path):
+    areas = spark.createDataFrame(
+        [("A", 10.0, "RECIFE"), ("B", 30.0, "RECIFE"), ("A", 10.0, "CABROBÓ")],
+        "bairro string, populacao double, estacao string",
+    )
+    base = spark.createDataFrame(
+        [(f"A{i}", "201601", float(i % 7), 10.0 * i, 30.0 + i % 4, 20.0, 25.0,
+          *[float(i % 2)] * 8, "original") for i in range(60)],
+        score.base_schema(SPEC),
+    )
+    path, kept, drop, progress = (str(tmp_path / n) for n in ("base", "rows", "drop", "progress"))
+    score.store(base, path, SPEC)
+    model = learn.fit(
+        learn.training_rows(base, SPEC.features, SPEC.label), SPEC.features,
+        learn.boosting(SPEC.label, maxIter=2, maxDepth=2),
+    )
+    means = {"populacao": 20.0, "temp_maxima": 31.0, "temp_minima": 20.0, "temp_comp_media": 25.0}
+    schema = "nome_estacao string, data date, temp_maxima double, temp_minima double, " \
+             "temp_comp_media double"
+    parts = [
+        [("RECIFE", date(2017, 2, 27), 33.5, 21.0, 27.0)],
+        [("RECIFE", date(2017, 3, 1), None, 22.0, 28.0), ("CABROBÓ", date(2017, 3, 2), 35.0, 20.0, 26.0)],
+        [("CABROBÓ", date(2017, 3, 9), 36.0, 20.0, 26.0)],
+    ]
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(schema).parquet(drop)
+        arrivals.publish_arrivals(stream, areas, model, means, kept, path, progress, SPEC)
+    untouched = sorted(p.stat().st_mtime_ns for p in (tmp_path / "base").rglob("*original*/**/*.parquet"))
+    stored = tables.read_folder(spark, path, score.base_schema(SPEC)).filter(
+        f"{SPEC.kind} = 'previsto'"
+    )
+    everything = spark.createDataFrame([r for part in parts for r in part], schema)
+    expected = score.stored_rows(score.score(everything, areas, model, SPEC, means), SPEC)
+    assert rows(stored.select(*SPEC.base_columns)) == rows(expected)
+    # The same weeks again leave the same rows and other weeks' files alone.
+    again = everything.filter("data < '2017-03-05'")
+    other = {p: p.stat().st_mtime_ns for p in (tmp_path / "base").rglob("*.parquet") if "201710" in str(p)}
+    score.publish(score.score(again, areas, model, SPEC, means), path, SPEC)
+    assert other == {p: p.stat().st_mtime_ns for p in other}
+    assert untouched
+
+
+def test_the_encoding_is_saved_with_the_model(spark, tmp_path):
+    base = spark.createDataFrame(
+        [(f"A{i}", "201601", float(i % 7), 10.0 * i, 30.0, 20.0, 25.0, *[0.0] * 8, "original")
+         for i in range(20)],
+        score.base_schema(SPEC),
+    )
+    model = learn.fit(
+        learn.training_rows(base, SPEC.features, SPEC.label), SPEC.features,
+        learn.boosting(SPEC.label, maxIter=1, maxDepth=1),
+    )
+    path = str(tmp_path / "model")
+    learn.save_model(model, path, "share")
+    learn.load_model(path, SPEC.features, "share")
+    with pytest.raises(ValueError, match="share"):
+        learn.load_model(path, SPEC.features, "count")
+
+
+def test_weather_rows_that_multiply_cases_are_an_error_on_request(spark):
+    cases = spark.createDataFrame(
+        [("A", 201601, date(2016, 1, 3))],
+        f"{SPEC.area} string, {SPEC.week} int, {SPEC.onset} date",
+    )
+    areas = spark.createDataFrame([("A", 1.0, "RECIFE")], "bairro string, populacao double, estacao string")
+    weather = spark.createDataFrame(
+        [("RECIFE", date(2016, 1, 3), t, 20.0, 25.0) for t in (30.0, 31.0)],
+        "nome_estacao string, data date, temp_maxima double, temp_minima double, temp_comp_media double",
+    )
+    assert enriched_cases(cases, areas, weather, SPEC).count() == 2
+    assert enriched_cases(cases, areas, weather, SPEC, weather_fanout="first").count() == 1
+    with pytest.raises(Exception, match="RECIFE"):
+        enriched_cases(cases, areas, weather, SPEC, weather_fanout="error").collect()
+
+
 def test_closed_weeks_of_a_stream_equal_the_batch(spark, tmp_path):
     data = [("x" if i % 3 else "y", datetime(2024, 1, 1 + i % 24, 12), float(i)) for i in range(240)]
     df = spark.createDataFrame(data, "k string, ts timestamp, v double")

@@ -132,3 +132,10 @@ def test_kinds_predict_counts(base, rows_and_model):
         ).first()
         assert metrics.n_rows == 400
         assert metrics.mse < metrics.baseline_mse
+
+
+def test_the_hash_split_takes_keys_as_text(spark):
+    numbers = spark.range(200).selectExpr("CAST(id AS int) AS week")
+    texts = numbers.selectExpr("CAST(week AS string) AS week")
+    one = {str(r.week): r.split for r in learn.hash_split(numbers, ["week"]).collect()}
+    assert one == {r.week: r.split for r in learn.hash_split(texts, ["week"]).collect()}

@@ -3,10 +3,11 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from areacast.operators import aggregate, profile
+from areacast.functions import decimal_comma
+from areacast.operators import aggregate, clean, profile
 from areacast.operators.running import running_totals
-from pyspark.sql import functions as F
 from tests.conftest import rows
 
 
@@ -149,3 +150,18 @@ def test_running_totals_match_brute_force(spark, grouped):
         sums[group] = sums.get(group, 0) + v
         expected[i] = sums[group]
     assert {r.id: r.total for r in summed.collect()} == expected
+
+
+def test_nan_is_missing_everywhere(spark):
+    data = [(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (float("nan"), 9.0), (4.0, float("nan"))]
+    df = spark.createDataFrame(data, "a double, b double")
+    (pair,) = profile.correlation_pairs(df, ["a", "b"]).collect()
+    assert 0.99 < pair.correlation < 1
+    none = spark.createDataFrame([(float("nan"), 1.0), (float("nan"), 2.0)], "a double, b double")
+    assert profile.correlation_pairs(none, ["a", "b"]).collect() == []
+    assert clean.column_means(df, ["a", "b"]).first() == (2.5, 5.25)
+    assert clean.impute_mean(df, ["a"]).filter("a = 2.5").count() == 1
+    text = spark.createDataFrame([("NaN",), ("Infinity",), ("1,5",)], "t string")
+    parsed = text.select("t", decimal_comma(F.col("t")).alias("n"))
+    assert [r.n for r in parsed.collect()] == [None, None, 1.5]
+    assert clean.count_rejects(text, {"t": decimal_comma(F.col("t"))}).first()["n_rejects"] == 2

@@ -70,3 +70,23 @@ def test_union_of_text_and_date_needs_a_rule(spark):
 def test_tag(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert schema.tag(df, source="dengue", zika=0).collect() == [(1, "DENGUE", 0)]
+
+
+def test_union_matches_names_without_case(spark):
+    one = spark.createDataFrame([(1, "x")], "Tp int, a string")
+    two = spark.createDataFrame([(2.5, "y")], "tp double, A string")
+    united = schema.harmonized_union([one, two])
+    assert united.columns == ["Tp", "a"]
+    assert rows(united) == [(1.0, "x"), (2.5, "y")]
+    assert schema.conform_columns(one, ["TP", "b"]).columns == ["Tp", "a", "b"]
+    twice = spark.createDataFrame([(1, 2)], "x int, y int").toDF("n", "N")
+    with pytest.raises(ValueError, match="more than once"):
+        schema.harmonized_union([twice])
+
+
+def test_union_of_decimals_with_other_numbers(spark):
+    one = spark.sql("SELECT CAST(1.25 AS decimal(5,2)) AS n")
+    assert rows(schema.harmonized_union([one, spark.sql("SELECT 2.5D AS n")])) == [(1.25,), (2.5,)]
+    whole = schema.harmonized_union([one, spark.sql("SELECT 9223372036854775807L AS n")])
+    assert whole.dtypes == [("n", "decimal(21,2)")]
+    assert [str(r.n) for r in whole.orderBy("n").collect()] == ["1.25", "9223372036854775807.00"]
