@@ -3,22 +3,26 @@
 A text is cut into windows of ``WINDOW`` words that start every ``STEP`` words, a template into windows of the same size that
 start at every word (a shorter template is one window). A window's set is its two-word shingles. Inside a
 longer template a window of the text meets a window of the template word by word; a template of at most
-``WINDOW`` words shares at least half of its shingles with one of the two windows around it. With 12 bands of 2
-values a similarity of 0.5 is found with probability 0.97 per window, 0.6 with 0.995, an equal
-window always. Found templates are verified by the share of their shingles that the words around the window hold.
-All is done by Spark's own expressions; the MinHash values of a window are a few minima of exclusive-ors.
+``WINDOW`` words shares at least half of its shingles with one of the two windows around it. With 8 bands of one
+value each a similarity of 0.5 is found with probability 0.996, 0.6 with 0.9993, an equal window
+always. Found templates are verified by the share of their shingles that the words around the window hold.
+All is done by Spark's own expressions; the MinHash values of a window are a few minima of exclusive-ors,
+few enough that the generated code stays small and is compiled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areacast.sources.tables import written
 
-WINDOW, STEP, BANDS, BAND_ROWS = 8, 4, 12, 2
+WINDOW, STEP, BANDS = 8, 4, 8
+# Up to so many distinct band values, windows are compared with the list of them before the join.
+LISTED = 20_000
 # The notices that name a public license, and the first sentences of their texts.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -50,39 +54,49 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _shingles(text: Column) -> Column:
-    """Hashes of each two neighbouring words of a text in lower case, in their order."""
+def _once(value: Column, name: str) -> Column:
+    """A column that is computed once per row, however often it is used: the planner copies plain ones."""
+    return F.explode(F.array(value)).alias(name)
+
+
+def _with_shingles(texts: DataFrame, text: Column, *columns: Column) -> DataFrame:
+    """The columns and ``shingles``: hashes of each two neighbouring words in lower case, in their order."""
     words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    last = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.xxhash64(a, b)
+    rows = texts.select(*columns, _once(words, "_words"))
+    kept = [c for c in rows.columns if c != "_words"]
+    rows = rows.select(*kept, "_words", F.greatest(F.size("_words") - 1, F.lit(0)).alias("_last"))
+    pairs = F.zip_with(
+        F.slice("_words", 1, F.col("_last")), F.slice("_words", 2, F.col("_last")),
+        lambda a, b: F.xxhash64(a, b),
     )
+    return rows.select(*kept, _once(pairs, "shingles"))
 
 
 def _banded(texts: DataFrame, step: int) -> DataFrame:
-    """Each row of ``texts`` (with ``shingles``) per window and band: ``at``, its first word, and ``band``, the key.
+    """Each row of ``texts`` (with ``shingles``) per window: ``at``, its first word, and ``m0`` .. of its bands.
 
     The last windows may be shorter. A text of fewer than two words has no window.
     """
     width = WINDOW - 1
-    at = F.explode(F.sequence(F.lit(0), F.greatest(F.size("shingles") - 1, F.lit(0)), F.lit(step)))
+    at = F.explode(F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(step)))
     rows = texts.where(F.size("shingles") > 0).select("*", at.alias("at"))
     first = F.get("shingles", F.col("at"))
     rows = rows.select("*", *[
         F.coalesce(F.get("shingles", F.col("at") + i), first, F.lit(0)).alias(f"_h{i}")
         for i in range(width)
     ])
+    # A fixed number of its own makes each minimum that of another hash function.
+    return rows.select(*texts.columns, "at", *[
+        F.least(*[F.col(f"_h{i}").bitwiseXOR(F.lit(_probe(b))) for i in range(width)]).alias(f"m{b}")
+        for b in range(BANDS)
+    ])
 
-    def minimum(number: int) -> Column:
-        # A fixed number of its own makes each minimum that of another hash function.
-        probe = F.lit(_probe(number))
-        return F.least(*[F.col(f"_h{i}").bitwiseXOR(probe) for i in range(width)])
 
+def _exploded(windows: DataFrame, *columns: str) -> DataFrame:
     bands = F.array(*[
-        F.xxhash64(F.lit(b), *[minimum(b * BAND_ROWS + r) for r in range(BAND_ROWS)])
-        for b in range(BANDS)
+        F.struct(F.lit(b).alias("band"), F.col(f"m{b}").alias("value")) for b in range(BANDS)
     ])
-    return rows.select(*texts.columns, "at", F.explode(bands).alias("band"))
+    return windows.select(*columns, F.explode(bands).alias("b")).select(*columns, "b.*")
 
 
 def _probe(number: int) -> int:
@@ -93,10 +107,10 @@ def _probe(number: int) -> int:
 
 
 def template_index(docs: DataFrame, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    """(band, license, part, length, set) of the templates' windows; of one size whatever the corpus."""
+    """(band, value, license, part, length, set) of the templates' windows; of one size whatever the corpus."""
     rows = [(name, i, t) for name, texts in templates.items() for i, t in enumerate(texts)]
     texts = docs.sparkSession.createDataFrame(rows, "license string, part int, text string")
-    texts = texts.select("license", "part", _shingles(F.col("text")).alias("shingles"))
+    texts = _with_shingles(texts, F.col("text"), F.col("license"), F.col("part"))
     texts = texts.select(
         "*", F.size("shingles").alias("length"), F.array_distinct("shingles").alias("set")
     )
@@ -104,7 +118,8 @@ def template_index(docs: DataFrame, templates: Mapping[str, tuple[str, ...]]) ->
     windows = _banded(texts, 1).where(
         F.col("at") <= F.greatest(F.col("length") - (WINDOW - 1), F.lit(0))
     )
-    return written(windows.select("band", "license", "part", "length", "set").distinct(), "templates")
+    found = _exploded(windows, "license", "part", "length", "set")
+    return written(found.distinct(), "templates")
 
 
 def find(
@@ -117,13 +132,22 @@ def find(
     shingles around a window and the first word of the first such window.
     """
     value = F.col(text).cast("string")
-    texts = docs.where(value.isNotNull()).select(
+    texts = _with_shingles(
+        docs.where(value.isNotNull()), value,
         F.xxhash64(value).alias("d1"), F.xxhash64(F.lit("again"), value).alias("d2"),
-        _shingles(value).alias("shingles"),
     )
     index = template_index(docs, templates)
+    windows = _banded(texts, STEP)
+    values = index.select("band", "value").distinct()
+    if values.count() <= LISTED:
+        known: dict[int, list[int]] = {}
+        for row in values.collect():
+            known.setdefault(row["band"], []).append(row["value"])
+        wanted = [F.col(f"m{b}").isin(found) for b, found in sorted(known.items())]
+        windows = windows.where(reduce(Column.__or__, wanted, F.lit(False)))
     # The index has a size that the planner knows, and is sent to the windows where that is small.
-    hits = _banded(texts, STEP).join(index, "band")
+    columns = ("d1", "d2", "shingles", "at")
+    hits = _exploded(windows, *columns).join(index, ["band", "value"])
     start = F.greatest(F.col("at") - F.col("length"), F.lit(0))
     around = F.slice("shingles", start + 1, F.col("length") * 2 + WINDOW)
     both = F.size(F.array_intersect("set", around))
