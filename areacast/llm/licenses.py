@@ -73,7 +73,7 @@ def _with_shingles(texts: DataFrame, text: Column, *columns: Column) -> DataFram
 
 
 def _banded(texts: DataFrame, step: int) -> DataFrame:
-    """Each row of ``texts`` (with ``shingles``) per window: ``at``, its first word, and ``m0`` .. of its bands.
+    """Each row of ``texts`` (with ``shingles``) per window: ``at``, its first word, and ``minima``, one per band.
 
     The last windows may be shorter. A text of fewer than two words has no window.
     """
@@ -86,17 +86,15 @@ def _banded(texts: DataFrame, step: int) -> DataFrame:
         for i in range(width)
     ])
     # A fixed number of its own makes each minimum that of another hash function.
-    return rows.select(*texts.columns, "at", *[
-        F.least(*[F.col(f"_h{i}").bitwiseXOR(F.lit(_probe(b))) for i in range(width)]).alias(f"m{b}")
+    minima = F.array(*[
+        F.least(*[F.col(f"_h{i}").bitwiseXOR(F.lit(_probe(b))) for i in range(width)])
         for b in range(BANDS)
     ])
+    return rows.select(*texts.columns, "at", _once(minima, "minima"))
 
 
 def _exploded(windows: DataFrame, *columns: str) -> DataFrame:
-    bands = F.array(*[
-        F.struct(F.lit(b).alias("band"), F.col(f"m{b}").alias("value")) for b in range(BANDS)
-    ])
-    return windows.select(*columns, F.explode(bands).alias("b")).select(*columns, "b.*")
+    return windows.select(*columns, F.posexplode("minima").alias("band", "value"))
 
 
 def _probe(number: int) -> int:
@@ -143,7 +141,7 @@ def find(
         known: dict[int, list[int]] = {}
         for row in values.collect():
             known.setdefault(row["band"], []).append(row["value"])
-        wanted = [F.col(f"m{b}").isin(found) for b, found in sorted(known.items())]
+        wanted = [F.get("minima", F.lit(b)).isin(found) for b, found in sorted(known.items())]
         windows = windows.where(reduce(Column.__or__, wanted, F.lit(False)))
     # The index has a size that the planner knows, and is sent to the windows where that is small.
     columns = ("d1", "d2", "shingles", "at")
