@@ -41,7 +41,7 @@ _COLUMNS = 4096
 
 
 def _signatures(docs: DataFrame, n: int) -> DataFrame:
-    """(id, size, node, keys): size of the set, its digest, and the keys of u and v in a row."""
+    """(id, size, node, keys, hash): size of the set, its digest, the keys of u and v in a row, the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = words.permutations(2 * GROUPS * ROWS, SEED)
@@ -57,11 +57,14 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
                 )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
-                 words.lists(keys, pa.int64())],
-                ["id", "size", "node", "keys"],
+                 words.lists(keys, pa.int64()), batch.column(2)],
+                ["id", "size", "node", "keys", "hash"],
             )
 
-    return docs.mapInArrow(run, "id bigint, size bigint, node binary, keys array<bigint>")
+    source = docs.select("id", "text", F.xxhash64("text").alias("hash"))
+    return source.mapInArrow(
+        run, "id bigint, size bigint, node binary, keys array<bigint>, hash bigint"
+    )
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -173,7 +176,7 @@ def _block_links(members: pa.Table, percent: int) -> pa.Table:
 def near_duplicates(
     docs: DataFrame, id_column: str, text: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row: its near-duplicate class.
+    """(id, n_shingles, component_id, kept, text_hash) of each row: its near-duplicate class.
 
     Sets of distinct n-word shingles (all words as one shingle if there are fewer), linked where
     100 * intersection >= percent * union. The class is named by its smallest id, and the row
@@ -181,6 +184,7 @@ def near_duplicates(
     nothing and stay. Rows with a null id are linked like others; their class has the smallest
     id that is not null, and if it has none they stay. Rows that repeat an id are all marked
     alike: repeated rows are equal texts, so a plan that keeps one row must drop them by itself.
+    text_hash, the text's xxhash64, tells rows of one id (or of none) with different texts apart.
     """
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
     signatures = written(_signatures(source, n), "signatures")
@@ -240,4 +244,5 @@ def near_duplicates(
         F.col("size").alias("n_shingles"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        F.col("hash").alias("text_hash"),
     )

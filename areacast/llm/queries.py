@@ -11,6 +11,11 @@ from areacast.llm import decontaminate, licenses, lines, mixing, neardup, secret
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# The smallest id that links (a, b) reach.
+_REACH = """
+    SELECT a AS id, a AS r FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a
+"""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,11 +37,42 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.size("near_items").cast("bigint").alias("n_near_items"),
     )
 
 
 QUERIES["op1_decontamination"] = op1_decontamination
+ORACLES["op1_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(%s, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), b AS (
+    SELECT item_id, coalesce(regexp_extract_all(%s, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM benchmark
+), starts AS (
+    SELECT item_id, w, least(10, len(w)) AS width, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+    FROM b WHERE len(w) > 0
+), phrases AS (
+    SELECT DISTINCT item_id, width, array_to_string(w[i:i + width - 1], ' ') AS phrase FROM starts
+), widths AS (
+    SELECT DISTINCT width FROM phrases
+), places AS (
+    SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+    FROM d JOIN widths ON len(w) >= width
+), hits AS (
+    SELECT p.doc_id, p.i, p.width, q.item_id
+    FROM places p JOIN phrases q
+    ON p.width = q.width AND array_to_string(p.w[p.i:p.i + p.width - 1], ' ') = q.phrase
+), words AS (
+    SELECT doc_id, count(DISTINCT spot) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + width)) AS spot FROM hits) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+    sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""" % ((_LOWER,) * 2)
 
 
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +87,21 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_embeddings"] = op3_embeddings
+ORACLES["op3_embeddings"] = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT one.vec_id AS a, two.vec_id AS b FROM v one JOIN v two
+    ON one.vec_id <> two.vec_id AND len(one.e) = len(two.e) AND list_cosine_similarity(one.e, two.e) >= 0.9
+), reach AS ({_REACH}), found AS (
+    SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+        coalesce((SELECT min(r) FROM reach WHERE id = vec_id), vec_id) AS component_id
+    FROM embeddings
+)
+SELECT *, vec_id = component_id AS kept FROM found
+"""
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,10 +119,33 @@ QUERIES["op4_licenses"] = op4_licenses
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", n=4, percent=80)
+    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", n=4, percent=80)
+    return found.drop("text_hash")
 
 
 QUERIES["op5_minhash"] = op5_minhash
+ORACLES["op5_minhash"] = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), cut AS (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 2)) AS i FROM d WHERE len(w) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g FROM cut
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT one.doc_id AS a, two.doc_id AS b, count(*) AS k
+    FROM shingles one JOIN shingles two ON one.g = two.g AND one.doc_id <> two.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach AS ({_REACH}), least AS (
+    SELECT id, min(r) AS component_id FROM reach GROUP BY id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+    d.doc_id = coalesce(component_id, d.doc_id) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON id = d.doc_id
+"""
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
