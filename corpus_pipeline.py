@@ -28,10 +28,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id."""
     marked = written(neardup.near_duplicates(docs, "doc_id", n=5, percent=80), "classes")
-    ids = marked.where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(
+    ids = marked.where("kept").groupBy(F.col("doc_id").alias("kept_id"), "text_hash").agg(
         F.count("*").alias("rows")
     )
-    found = docs.select(*COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("text_hash"))
+    found = docs.select(*COLUMNS).join(ids, same)
     if not ids.where("rows > 1").isEmpty():
         # Repeated rows: those that share an id are cut down to one of each kind.
         again = found.where("rows > 1").select(*COLUMNS).dropDuplicates()
