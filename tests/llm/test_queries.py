@@ -221,6 +221,22 @@ def test_mined_url_rules(spark):
     assert rules == pytest.approx({(("a", "b"), "block"): 0.9, (("b",), "block"): 0.9, (("c",), "allow"): 1.0})
 
 
+def test_undecided_url_of_a_blocked_host(spark):
+    # As many undecided urls as make every confidence over all urls small; path:en is on both sides alike.
+    rows = [f"http://bad.site.test/de/{i}" for i in range(6)] + [f"http://good.site.test/fr/{i}" for i in range(6)]
+    rows += [f"http://bad.site.test/en/{i}" for i in range(40)] + [f"http://good.site.test/en/{i}" for i in range(40)]
+    rows += [f"http://other.test/en/{i}" for i in range(5)]
+    rules = (urls.Rule("site.test", "/de/", "block"), urls.Rule("site.test", "/fr/", "allow"))
+    pages = spark.createDataFrame([(u,) for u in rows], "url string")
+    found = urls.judge(pages, rules, default="none").where("rule is null")
+    assert Counter((r["host"], r["verdict"]) for r in found.collect()) == {
+        ("bad.site.test", "block"): 40, ("good.site.test", "allow"): 40, ("other.test", "none"): 5,
+    }
+    # Labels of one verdict have no contrast.
+    one = urls.judge(pages, rules[:1], default="none").where("rule is null")
+    assert {r["verdict"] for r in one.collect()} == {"none"}
+
+
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES])
 def test_empty_tables(spark, empty, name):
     assert queries.QUERIES[name](spark, empty).count() == 0
