@@ -1,11 +1,16 @@
-"""Mixing sources to target weights by Pareto order sampling.
+"""Mixing sources to target weights by order sampling.
 
 A source that has to give more words than it holds first gives certain whole copies of each document. What
-is left is a sample: each document gets a random number u, its inclusion probability p, and the rank
-(u / (1 - u)) / (p / (1 - p)); the smallest ranks are taken while the words are not exceeded, and one
-more document fills what is missing. As a document is taken if its rank is at most its source's last one, the
-choice is a filter on the documents: the texts are never sorted or shuffled, only (source, rank, size)
-is, over range partitions that a large source spreads over.
+is left (the rest) is a sample: each row gets a random number u from its source, id and text, and a number of its
+own among equal rows. With p the rest's share of the source, documents of more than a hundredth of the rest are
+drawn first, those with u < p, from large to small; the short ones follow in the order of u, then the long ones that
+were not drawn. They are taken while the words are not exceeded; where more than a hundredth is missing, further
+rounds go on behind the document that did not fit, and one more document fills what is missing. So a long
+document has its own odds p, and the short ones make up for it.
+
+As the choice is a few intervals of that order, it is a filter on the documents: the texts are never sorted or
+shuffled (but for rows equal to another), only (source, order, size) is, over range partitions that a large
+source spreads over.
 """
 
 from __future__ import annotations
@@ -16,9 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areacast.operators.running import running_totals
+from areacast.sources.tables import written
 
 # Between the counted words: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+# Documents of more than this part of the rest are long; a rest is full with so small a part missing.
+LONG = CLOSE = 0.01
+# Each round about halves what is missing.
+ROUNDS = 16
 
 
 def word_count(text: Column) -> Column:
@@ -58,15 +68,54 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most: float) -> D
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def _number(id_column: str, seed: int) -> Column:
-    """A number in (0, 1) from the id, the same on every run and in other systems."""
-    digest = F.md5(F.concat(
-        F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(f":{seed}")
-    ).cast("binary"))
+def _number(key: Column) -> Column:
+    """A number in (0, 1) from the key, the same on every run and in other systems."""
+    digest = F.md5(key.cast("string").cast("binary"))
     value = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double")
     return (value + 0.5) / float(1 << 48)
 
 
+def _order(size: Column, u: Column, p: Column, rest: Column) -> list[Column]:
+    """``stage``, ``level`` and ``u``: long documents that are drawn, from large to small; short ones; other long ones."""
+    long = size > LONG * rest
+    stage = F.when(~long, 1).when(u < p, 0).otherwise(2)
+    level = F.when(long & (u < p), -F.floor(F.log2(size))).otherwise(0).cast("int")
+    return [stage.alias("stage"), level.alias("level"), u.alias("u")]
+
+
+def _in_rounds(rounds: Column, size: Column, order: Column) -> Column:
+    """Whether one of the rounds (missing, after, last) takes the document."""
+    return F.coalesce(F.exists(rounds, lambda r: (
+        (size <= r["missing"]) & (r["after"].isNull() | (order > r["after"])) & (order <= r["last"])
+    )), F.lit(False))
+
+
+def _numbered(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` and (source, u, size) of each row, where rows of equal ``_mix_u`` have got numbers of their own."""
+    seen = docs.groupBy(
+        F.col("_mix_source").alias("source"), F.col("_mix_u").alias("u"), F.col("_size").alias("size")
+    ).agg(F.count("*").alias("n"))
+    seen = written(seen, "mix_sizes")
+    again = seen.groupBy("u").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("u").alias("_mix_again"))
+    narrow = seen.select("source", "u", "size")
+    if seen.where("n > 1").isEmpty() and again.isEmpty():
+        return docs, narrow
+    again = written(again, "mix_again")
+    same = F.col("_mix_u") == F.col("_mix_again")
+    # Which of equal rows gets which number does not matter, but each gets one of its own.
+    rows = docs.join(again, same, "left_semi").withColumns({"_mix_salt": F.rand(seed), "_mix_one": F.lit(1)})
+    rows = running_totals(rows, [F.col("_mix_u"), F.col("_mix_salt")], {"_mix_one": "_mix_no"}, ["_mix_u"])
+    own = _number(F.concat_ws(":", F.col("_mix_u").cast("string"), F.col("_mix_no").cast("string")))
+    rows = rows.withColumn("_mix_u", own).select(*docs.columns)
+    one_each = narrow.join(again, F.col("u") == F.col("_mix_again"), "left_anti")
+    return (
+        docs.join(again, same, "left_anti").unionByName(rows),
+        one_each.unionByName(rows.select(
+            F.col("_mix_source").alias("source"), F.col("_mix_u").alias("u"), F.col("_size").alias("size")
+        )),
+    )
+
+
 def mix(
     docs: DataFrame, id_column: str, source: str = "source", text: str = "text",
     weights: Sequence[float] = (5, 2, 1), most: int = 3, seed: int = 8,
@@ -75,60 +124,84 @@ def mix(
 
     Columns of these names are replaced.
     A size is the number of words; null, empty and blank texts have none, so they count for nothing and are
-    taken like others. A null source is a source. Within a source all documents have the same inclusion
-    probability. Rows that share an id share the random number and are taken alike. Without any
-    words every target is 0 and nothing is taken.
+    taken like others. A null source is a source. Each row is drawn by itself, also where ids are null or
+    repeated. Besides the whole copies, a source's documents have about the same inclusion probability; one
+    that has more words than the source has to give besides the whole copies is left out of that part, unless it
+    alone comes nearer to the target than nothing. Without any words every target is 0 and nothing is taken.
     """
     added = ("_size", "_source_size", "_target", "_copies")
     columns = [c for c in docs.columns if c.lower() not in added]
-    size = word_count(F.col(text))
-    narrow = docs.select(
-        F.col(source).alias("source"), _number(id_column, seed).alias("u"), size.alias("size")
+    key = F.concat_ws(
+        ":", F.coalesce(F.col(source).cast("string"), F.lit("")),
+        F.coalesce(F.col(id_column).cast("string"), F.lit("")),
+        F.xxhash64(F.col(text)).cast("string"), F.lit(str(seed)),
     )
-    # One row per source and number; from here on no text is read until the documents are marked.
-    ranked = narrow.groupBy("source", "u").agg(F.sum("size").alias("size"))
+    own = docs.select(
+        *columns, word_count(F.col(text)).alias("_size"),
+        F.col(source).alias("_mix_source"), _number(key).alias("_mix_u"),
+    )
+    # One narrow row per document; from here on no text is read until the documents are marked.
+    own, narrow = _numbered(own, seed)
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(sizes, weights, most)
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = plan.withColumn("whole", F.floor(times)).withColumn("p", times - F.floor(times))
     # A part of a few words in 10^9 is a rounding difference of the target.
     plan = plan.withColumn("p", F.when(F.col("p") > 1e-9, F.col("p")).otherwise(0.0))
-    plan = plan.withColumn("rest", F.col("p") * F.col("source_size"))
+    plan = written(plan.withColumn("rest", F.col("p") * F.col("source_size")), "mix_plan")
 
-    totals = running_totals(ranked, [F.col("u")], {"size": "upto"}, ["source"])
     rests = plan.select(F.col("source").alias("of"), "rest", "p").where("p > 0")
-    rank = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    placed = totals.join(rests, F.col("source").eqNullSafe(F.col("of"))).withColumn("rank", rank)
-    full = placed.where("upto <= rest").groupBy("of").agg(
-        F.max("rank").alias("last_rank"), F.max("upto").alias("upto")
+    placed = narrow.join(rests, F.col("source").eqNullSafe(F.col("of"))).select(
+        "source", "size", *_order(F.col("size"), F.col("u"), F.col("p"), F.col("rest"))
     )
-    full = rests.select(F.col("of").alias("full_of"), "rest").join(
-        full, F.col("full_of").eqNullSafe(F.col("of")), "left"
-    ).select(
-        "full_of", F.coalesce("last_rank", F.lit(-1.0)).alias("last_rank"),
-        (F.col("rest") - F.coalesce("upto", F.lit(0))).alias("missing"),
+    order = F.struct("stage", "level", "u")
+    after = F.lit(None).cast("struct<stage:int,level:int,u:double>")
+    state = rests.select("of", "rest", F.col("rest").alias("missing"), after.alias("after"))
+    rounds = None
+    for _ in range(ROUNDS):
+        # In order, while the words are not exceeded; the next round goes on behind what did not fit.
+        fits = placed.join(state, F.col("source").eqNullSafe(F.col("of"))).where(
+            (F.col("size") <= F.col("missing")) & (F.col("after").isNull() | (order > F.col("after")))
+        ).select("source", "size", "stage", "level", "u", "missing")
+        totals = running_totals(
+            fits, [F.col("stage"), F.col("level"), F.col("u")], {"size": "upto"}, ["source"]
+        )
+        got = totals.where("upto <= missing").groupBy(F.col("source").alias("got_of")).agg(
+            F.max(order).alias("last"), F.max("upto").alias("got")
+        )
+        step = written(state.join(got, F.col("of").eqNullSafe(F.col("got_of")), "left").select(
+            "of", "rest", "missing", "after", "last",
+            (F.col("missing") - F.coalesce("got", F.lit(0))).alias("left"),
+        ), "mix_round")
+        rounds = step if rounds is None else rounds.union(step)
+        state = step.where(F.col("last").isNotNull() & (F.col("left") > CLOSE * F.col("rest"))).select(
+            "of", "rest", F.col("left").alias("missing"), F.col("last").alias("after")
+        )
+        if state.isEmpty():
+            break
+    done = rounds.groupBy(F.col("of").alias("done_of")).agg(
+        F.collect_list(F.struct("missing", "after", "last")).alias("rounds"), F.min("left").alias("left")
     )
-    # The words still missing are given by the one later document that comes nearest to them.
-    nearest = placed.join(full, F.col("of").eqNullSafe(F.col("full_of"))).where(
-        "rank > last_rank and abs(size - missing) < missing"
-    ).groupBy("of").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.col("missing")), "rank"))["rank"].alias("filler")
+    # The words still missing are given by the one document left over that comes nearest to them.
+    nearest = placed.join(done, F.col("source").eqNullSafe(F.col("done_of"))).where(
+        F.abs(F.col("size") - F.col("left")) < F.col("left")
+    ).where(~_in_rounds(F.col("rounds"), F.col("size"), order)).groupBy(F.col("source").alias("of")).agg(
+        F.min(F.struct(F.abs(F.col("size") - F.col("left")), order.alias("order")))["order"].alias("filler")
     )
-    plan = plan.join(full, F.col("source").eqNullSafe(F.col("full_of")), "left").join(
+    plan = plan.join(done, F.col("source").eqNullSafe(F.col("done_of")), "left").join(
         nearest, F.col("source").eqNullSafe(F.col("of")), "left"
     ).select(
         F.col("source").alias("_mix_of"), F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"), F.col("whole").alias("_mix_whole"),
-        F.col("p").alias("_mix_p"), F.col("last_rank").alias("_mix_last"),
-        F.col("filler").alias("_mix_filler"),
+        F.col("p").alias("_mix_p"), F.col("rest").alias("_mix_rest"),
+        F.col("rounds").alias("_mix_rounds"), F.col("filler").alias("_mix_filler"),
     )
 
-    u, p = F.col("_mix_u"), F.col("_mix_p")
-    own_rank = F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
-    one_more = (own_rank <= F.col("_mix_last")) | (own_rank == F.col("_mix_filler"))
-    marked = docs.select(
-        *columns, size.alias("_size"), _number(id_column, seed).alias("_mix_u")
-    ).join(plan, F.col(source).eqNullSafe(F.col("_mix_of")), "left")
+    own_order = F.struct(*_order(F.col("_size"), F.col("_mix_u"), F.col("_mix_p"), F.col("_mix_rest")))
+    one_more = _in_rounds(F.col("_mix_rounds"), F.col("_size"), own_order) | (
+        own_order == F.col("_mix_filler")
+    )
+    marked = own.join(plan, F.col("_mix_source").eqNullSafe(F.col("_mix_of")), "left")
     return marked.select(
         *columns, "_size", "_source_size", "_target",
         (F.col("_mix_whole") + F.when(one_more, 1).otherwise(0)).cast("int").alias("_copies"),

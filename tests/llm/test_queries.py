@@ -178,6 +178,33 @@ def _source_of_long(data):
     return max(data["documents"], key=lambda d: len(d["text"] or ""))["source"]
 
 
+def test_mixing_with_one_long_document(spark):
+    # 40 draws: 200 documents of 10 words and a long one; p is 0.4 in one half, 0.6 besides a copy in the other.
+    rows = [(200 * i + j, f"s{i:02}", f"w{j} " * 10) for i in range(40) for j in range(200)]
+    rows += [(9000 + i, f"s{i:02}", "long " * 1000) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    found = mixing.mix(docs, "doc_id", weights=(2, 8)).collect()
+    taken, target = Counter(), {r["source"]: r["_target"] for r in found}
+    for r in found:
+        taken[r["source"]] += r["_size"] * r["_copies"]
+    assert {round(t) for t in target.values()} == {1200, 4800}
+    assert all(abs(taken[s] - t) <= 0.02 * t for s, t in target.items())
+    copies = Counter(r["_copies"] for r in found if r["_size"] == 1000)
+    assert 2 <= copies[0] <= 18 and 5 <= copies[2] <= 19
+
+
+def test_mixing_without_ids(spark):
+    # Null ids with many texts, and wholly equal rows.
+    rows = [(None, "a", f"w{j} " * 10) for j in range(500)] + [(None, "b", "one text of five words")] * 400
+    docs = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    found = mixing.mix(docs, "doc_id", weights=(4, 3)).collect()
+    assert len(found) == 900
+    taken, target = Counter(), {r["source"]: r["_target"] for r in found}
+    for r in found:
+        taken[r["source"]] += r["_size"] * r["_copies"]
+    assert all(abs(taken[s] - t) <= 0.02 * t for s, t in target.items())
+
+
 def test_targets_of_small_sources(spark):
     sizes = {"a": 1, "b": 1000, "c": 10, "d": 0, None: 500}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
