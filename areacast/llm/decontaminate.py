@@ -34,10 +34,10 @@ _FOLD = bytes(
     for c in range(256)
 )
 _INDEX = (
-    "segment string, ids binary, no_id binary, lengths binary, terms binary, ends binary, places binary"
+    "segment string, ids binary, no_id binary, hashes binary, lengths binary, terms binary, ends binary, places binary"
 )
 _FOUND = (
-    "segment string, ordinal int, id bigint, n_words bigint, "
+    "segment string, ordinal int, id bigint, text_hash bigint, n_words bigint, "
     "spans array<struct<start:int,end:int>>, items array<bigint>, near_items array<bigint>"
 )
 
@@ -46,7 +46,7 @@ def _terms(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
-def _segment(name: str, ids: list, tokens: list[np.ndarray]) -> list:
+def _segment(name: str, ids: list, texts: list, tokens: list[np.ndarray]) -> list:
     """The columns of one segment; numbers as raw bytes."""
     run = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
     places = np.argsort(run, kind="stable").astype(np.int32)
@@ -56,6 +56,7 @@ def _segment(name: str, ids: list, tokens: list[np.ndarray]) -> list:
         name,
         np.array([i or 0 for i in ids], np.int64).tobytes(),
         np.array([i is None for i in ids], np.bool_).tobytes(),
+        np.array(texts, np.int64).tobytes(),
         np.array([len(t) for t in tokens], np.int32).tobytes(),
         ordered[last].tobytes(),
         (last + 1).astype(np.int32).tobytes(),
@@ -73,28 +74,30 @@ def build_index(docs: DataFrame, id_column: str, text: str = "text") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         hashes = words.WordIds()
-        ids, tokens, held, number = [], [], 0, 0
+        ids, marks, tokens, held, number = [], [], [], 0, 0
 
         def row():
-            columns = _segment(f"{task}-{number}", ids, tokens)
-            kinds = [pa.string()] + [pa.binary()] * 6
+            columns = _segment(f"{task}-{number}", ids, marks, tokens)
+            kinds = [pa.string()] + [pa.binary()] * 7
             return pa.RecordBatch.from_arrays(
                 [pa.array([c], k) for c, k in zip(columns, kinds)],
-                ["segment", "ids", "no_id", "lengths", "terms", "ends", "places"],
+                ["segment", "ids", "no_id", "hashes", "lengths", "terms", "ends", "places"],
             )
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), words.texts(batch.column(1))):
+            keys, own = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for key, value, mark in zip(keys, words.texts(batch.column(1)), own):
                 if held and held + len(value or b"") > SEGMENT:
                     yield row()
-                    ids, tokens, held, number = [], [], 0, number + 1
+                    ids, marks, tokens, held, number = [], [], [], 0, number + 1
                 ids.append(key)
+                marks.append(mark)
                 tokens.append(hashes.of(_terms(value)))
                 held += len(value or b"") + 1
         if ids:
             yield row()
 
-    source = docs.select(F.col(id_column).cast("bigint"), F.col(text))
+    source = docs.select(F.col(id_column).cast("bigint"), F.col(text), F.xxhash64(text).alias("hash"))
     path = scratch_path(docs.sparkSession, "index")
     # Few segments a file: a reader's batch stays small.
     source.mapInArrow(run, _INDEX).write.option("maxRecordsPerFile", 4).parquet(path)
@@ -214,18 +217,20 @@ def _search(index: DataFrame, block: list, slop: int) -> DataFrame:
                         b, d = max(b, stop), d + 1
                 ids = np.frombuffer(row["ids"], np.int64)
                 missing = np.frombuffer(row["no_id"], np.bool_)
+                texts = np.frombuffer(row["hashes"], np.int64)
                 for low in range(0, size, 4096):
                     part = range(low, min(size, low + 4096))
                     yield pa.RecordBatch.from_arrays([
                         pa.array([row["segment"]] * len(part)),
                         pa.array(list(part), pa.int32()),
                         pa.array(ids[part.start : part.stop], mask=missing[part.start : part.stop]),
+                        pa.array(texts[part.start : part.stop]),
                         pa.array(lengths[part.start : part.stop].astype(np.int64)),
                         pa.array([spans.get(d, []) for d in part], pa.list_(
                             pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                         pa.array([sorted(exact.get(d, ())) for d in part], pa.list_(pa.int64())),
                         pa.array([sorted(near.get(d, ())) for d in part], pa.list_(pa.int64())),
-                    ], ["segment", "ordinal", "id", "n_words", "spans", "items", "near_items"])
+                    ], ["segment", "ordinal", "id", "text_hash", "n_words", "spans", "items", "near_items"])
 
     return index.mapInArrow(run, _FOUND)
 
@@ -248,7 +253,7 @@ def _merged(spans) -> F.Column:
 
 
 def search(index: DataFrame, wanted: DataFrame, slop: int = 2) -> DataFrame:
-    """(id, n_words, spans, items, near_items) of each document of the index.
+    """(id, text_hash, n_words, spans, items, near_items) of each document of the index.
 
     ``wanted`` has the phrases (terms, item). spans: the runs of words inside exact matches, as word
     numbers, end exclusive; items: whose phrases match exactly; near_items: also those with all
@@ -269,7 +274,7 @@ def search(index: DataFrame, wanted: DataFrame, slop: int = 2) -> DataFrame:
     def gathered(column):
         return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))).alias(column)
 
-    return found.groupBy("segment", "ordinal", "id", "n_words").agg(
+    return found.groupBy("segment", "ordinal", "id", "text_hash", "n_words").agg(
         _merged(F.flatten(F.collect_list("spans"))).alias("spans"),
         gathered("items"), gathered("near_items"),
     ).drop("segment", "ordinal")
@@ -281,7 +286,8 @@ def contamination(
     """The search of all items' phrases in all documents; one row per document row.
 
     Null or empty texts have no words and no hits, an empty item table gives none either.
-    Repeated documents and items are treated each by itself.
+    Repeated documents and items are treated each by itself; ``text_hash``, the xxhash64 of the text, tells rows
+    of one id (or none) with different texts apart.
     """
     return search(build_index(docs, doc_id), phrases(items, item_id, window), slop).withColumnRenamed(
         "id", doc_id

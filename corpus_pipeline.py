@@ -41,12 +41,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten consecutive words of a benchmark item."""
+    """Documents without any ten consecutive words of a benchmark item.
+
+    Each row is judged by its own text, also where ids are null or repeated.
+    """
     found = decontaminate.contamination(
         docs, "doc_id", _table(spark, sf_dir, "benchmark"), "item_id", slop=0
     )
-    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    clean = docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = found.where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")
+    ).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash"))
+    clean = docs.join(hit, same, "left_anti")
     return clean.select(*COLUMNS)
 
 

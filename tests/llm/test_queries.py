@@ -293,6 +293,15 @@ def test_stages(spark, folder, data):
     assert stays == {tuple(d.values()) for d in plain} - rejected
 
 
+def test_clean_rows_that_share_an_id_stay(spark, folder, data):
+    leak = next(b["text"] for b in data["benchmark"] if len(brute.terms(b["text"])) >= 10)
+    texts = [(None, leak), (None, "clean one"), (None, "clean one"), (None, None), (900, leak), (900, "clean two"), (901, "x")]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    clean = corpus_pipeline.not_in_benchmark(spark, docs, folder)
+    assert counted(clean.collect()) == counted(r for r in rows if r[1] != leak)
+
+
 def test_clashing_columns(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(20)
     for name in ("score", "secret_spans", "_shard", "_SLOT", "_size", "_copies", "id", "node", "line"):
