@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.llm import decontaminate, licenses, lines, mixing, neardup, secrets, shards, toxicity, urls, vectors
+from areacast.llm import (
+    clusters,
+    decontaminate,
+    fingerprints,
+    licenses,
+    lines,
+    mixing,
+    neardup,
+    secrets,
+    shards,
+    toxicity,
+    urls,
+    vectors,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,3 +243,80 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_urls"] = op10_urls
+
+
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"), "doc_id")
+
+
+QUERIES["op11_fingerprints"] = op11_fingerprints
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster(_table(spark, sf_dir, "embeddings"), "vec_id", count=8, rounds=10, dims=64)
+    components = F.array_join(F.transform("centroid", lambda c: c.cast("string")), ",")
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(components.cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
+def _clusters_sql(rounds: int) -> str:
+    """The rounds written out one after the other; // cuts towards zero, so the floor is taken by the remainder."""
+    nearest = """
+{after} AS MATERIALIZED (
+    SELECT id, vec_id, x, cluster, distance FROM (
+        SELECT v.id, v.vec_id, v.x, c.cluster,
+            list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance
+        FROM kept v CROSS JOIN {before} c
+    ) QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, cluster) = 1
+)"""
+    moved = """
+{after} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.x, c.x) AS x FROM {before} c LEFT JOIN (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+            SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n
+            FROM {assigned}, (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i
+        ) GROUP BY cluster
+    ) m USING (cluster)
+)"""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(nearest.format(after=f"a{i}", before=f"c{i}"))
+        if i < rounds:
+            steps.append(moved.format(after=f"c{i + 1}", before=f"c{i}", assigned=f"a{i}"))
+    return """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, vec_id,
+        list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x
+    FROM (SELECT x, sha256('3:' || vec_id::VARCHAR) AS h FROM kept ORDER BY h, x LIMIT 8)
+), %s, sums AS (
+    SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM a%d GROUP BY cluster
+)
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance, sums.cluster_inertia,
+    (SELECT sum(cluster_inertia)::BIGINT FROM sums) AS inertia,
+    sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a%d a JOIN c%d c USING (cluster) JOIN sums USING (cluster)
+""" % (",".join(steps), rounds, rounds, rounds)
+
+
+QUERIES["op12_clusters"] = op12_clusters
+ORACLES["op12_clusters"] = _clusters_sql(10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", keep=4)
+    each = found.select(
+        "vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened")
+    )
+    return each.select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened",
+        F.col("explained")[F.col("place")].alias("explained"), "identity_error",
+    )
+
+
+QUERIES["op13_whitening"] = op13_whitening
