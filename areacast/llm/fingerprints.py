@@ -37,7 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VALUES, BAND, SEED, N = 128, 4, 11, 5
 PRIME = (1 << 31) - 1
 BLOCK = 256
-_CHUNK = 1 << 14
+# Shingles at a time: their products with all functions stay in the processor's cache.
+_CHUNK = 256
 
 
 class Hasher:
@@ -60,15 +61,21 @@ class Hasher:
             return np.empty(0, np.uint16)
         prime, bits = np.uint64(PRIME), np.uint64(31)
         numbers = (hashes >> np.uint64(33)) % prime
-        least = np.full(self.values, PRIME, np.uint64)
+        least = None
         for start in range(0, len(numbers), _CHUNK):
-            product = self.a * numbers[start : start + _CHUNK] + self.b
-            # Modulo 2^31 - 1: the high bits count as much as the low ones.
-            product = (product & prime) + (product >> bits)
-            product = (product & prime) + (product >> bits)
-            product[product == prime] = 0
-            np.minimum(least, product.min(axis=1), out=least)
-        return (least & np.uint64(0xFFFF)).astype(np.uint16)
+            product = self.a * numbers[start : start + _CHUNK]
+            product += self.b
+            # Modulo 2^31 - 1: the high bits count as much as the low ones; the prime stands for 0.
+            high = product >> bits
+            product &= prime
+            product += high
+            folded = product.astype(np.uint32)
+            over = folded >> np.uint32(31)
+            folded &= np.uint32(PRIME)
+            folded += over
+            own = folded.min(axis=1)
+            least = own if least is None else np.minimum(least, own)
+        return (least & np.uint32(0xFFFF)).astype(np.uint16)
 
     def fingerprint(self, text: str | None) -> np.ndarray:
         return self.minima(self.shingles((text or "").encode()))
