@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from areacast.operators.moments import pair_moments, pearson
 from areacast.operators.running import running_totals
 
 
@@ -85,99 +85,143 @@ def describe_numeric(
     names: Sequence[str],
     quantiles: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Count, mean, standard deviation, minimum, exact quantiles and maximum per column."""
+    """Count, mean, standard deviation, minimum, exact quantiles and maximum per column.
+
+    Two scans: moments and rank sketches, then the exact quantiles.
+    """
+    quantiles = quantiles or QUARTILES
     stats = {
         "n_values": F.count, "mean": F.avg, "std": F.stddev_samp,
         "min_value": F.min, "max_value": F.max,
     }
-    moments = df.agg(*[
-        stat(_given(n)).alias(f"{n}|{label}") for n in names for label, stat in stats.items()
-    ])
-    moments = _as_rows(moments, [
-        {"column_name": F.lit(n), **{label: F.col(f"`{n}|{label}`") for label in stats}}
-        for n in names
-    ])
-    return moments.join(exact_quantiles(df, names, quantiles), "column_name", "left")
+    found = _sketched(df, names, quantiles, stats)
+    exact = _quantiles(df, names, quantiles, found)
+    lines = [
+        (n, *[found[f"{i}|{label}"] for label in stats], *[exact[n, q] for q in quantiles])
+        for i, n in enumerate(names)
+    ]
+    return df.sparkSession.createDataFrame(
+        lines,
+        "column_name string, n_values bigint, mean double, std double, min_value double, max_value double, "
+        + ", ".join(f"`{q}` double" for q in quantiles),
+    )
 
 
 def exact_quantiles(
     df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Linearly interpolated quantiles of the given values, one row per column.
+    """Linearly interpolated quantiles of the given values, one row per column; null without a value.
 
-    A rank sketch narrows each quantile to a thin slice of the values, the values below it
-    are counted exactly, and only the slice is sorted. Where the counts show that a slice
-    misses its ranks, all values of that column take its place. The driver sees a few
-    numbers per column only.
+    A rank sketch narrows each quantile to a thin slice of the values. A second scan counts the values
+    before, between and in the slices, so the ranks in a slice are exact, and only slices are sorted. Where a rank
+    turns out to lie outside its slice, all values of that column take its place. The driver sees a
+    few numbers per column only.
     """
     quantiles = quantiles or QUARTILES
-    spark = df.sparkSession
+    found = _sketched(df, names, quantiles, {"n_values": F.count})
+    exact = _quantiles(df, names, quantiles, found)
+    lines = [(n, *[exact[n, q] for q in quantiles]) for n in names]
+    return df.sparkSession.createDataFrame(
+        lines, "column_name string, " + ", ".join(f"`{q}` double" for q in quantiles)
+    )
+
+
+def _sketched(df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float], stats: Mapping) -> Row:
+    """One scan: the stats of each column, and the ends of the slices around its quantiles."""
     reach = _MARGIN / _ACCURACY
     ends = [
         min(max(end, 0.0), 1.0) for q in quantiles.values() for end in (q - reach, q + reach)
     ]
-    found = df.agg(
-        *[F.percentile_approx(_given(n), ends, _ACCURACY).alias(n) for n in names]
-    ).first()
-    slices = {
-        (n, label): (found[n][2 * i], found[n][2 * i + 1])
-        for n in names
-        if found[n]
-        for i, label in enumerate(quantiles)
-    }
-    if not slices:
-        return spark.createDataFrame(
-            [], "column_name string, " + ", ".join(f"{q} double" for q in quantiles)
-        )
-    counts = df.agg(
-        *[F.count(_given(n)).alias(n) for n in names],
-        *[
-            F.count_if(_given(n) < low).alias(f"{n}|{q}|below")
-            for (n, q), (low, _) in slices.items()
-        ],
+    return df.agg(
         *[
-            F.count_if(_given(n).between(low, high)).alias(f"{n}|{q}|within")
-            for (n, q), (low, high) in slices.items()
+            stat(_given(n)).alias(f"{i}|{label}")
+            for i, n in enumerate(names) for label, stat in stats.items()
         ],
+        *[F.percentile_approx(_given(n), ends, _ACCURACY).alias(f"{i}|ends") for i, n in enumerate(names)],
     ).first()
-    targets, pieces = [], []
-    for (n, label), (low, high) in slices.items():
-        position = (counts[n] - 1) * quantiles[label]
-        first, last = math.floor(position) + 1, math.ceil(position) + 1
-        below = counts[f"{n}|{label}|below"]
-        value = _given(n)
-        if below < first and last <= below + counts[f"{n}|{label}|within"]:
-            value = F.when(value.between(low, high), value)
+
+
+def _quantiles(
+    df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float], found: Row
+) -> dict[tuple[str, str], float | None]:
+    """The exact quantiles, by column and label."""
+    targets, slices = [], {}
+    for i, n in enumerate(names):
+        if not found[f"{i}|n_values"]:
+            continue
+        for label, q in quantiles.items():
+            position = (found[f"{i}|n_values"] - 1) * q
+            targets.append((i, label, math.floor(position) + 1, math.ceil(position) + 1,
+                            position - math.floor(position)))
+        ends = found[f"{i}|ends"]
+        slices[i] = _disjoint(list(zip(ends[::2], ends[1::2])))
+    exact: dict[tuple[str, str], float | None] = {(n, q): None for n in names for q in quantiles}
+    while targets:
+        missed = set()
+        for r in _values_at(df, names, slices, targets).collect():
+            if r["low"] is None or r["high"] is None:
+                missed.add(r["column"])
+            else:
+                exact[names[r["column"]], r["label"]] = r["low"] + (r["high"] - r["low"]) * r["part"]
+        targets = [t for t in targets if t[0] in missed]
+        slices = {i: [(float("-inf"), float("inf"))] for i in missed}
+    return exact
+
+
+def _disjoint(slices: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The slices in order, overlapping ones as one, those inside out left away."""
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(s for s in slices if s[0] <= s[1]):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
         else:
-            below = 0
-        targets.append((n, label, first - below, last - below, position - math.floor(position)))
+            merged.append((low, high))
+    return merged
+
+
+def _values_at(
+    df: DataFrame,
+    names: Sequence[str],
+    slices: Mapping[int, Sequence[tuple[float, float]]],
+    targets: Sequence[tuple[int, str, int, int, float]],
+) -> DataFrame:
+    """(column, label, part, low, high): the values at the two ranks of each target, null outside the slices.
+
+    Slices are the odd regions of a column, what lies before, between and behind them the even ones. A row gives each
+    column its region, and in a slice its value, so equal values of a slice and whole even regions shrink to one row before the
+    shuffle.
+    """
+    pieces = []
+    for i, own in slices.items():
+        value = _given(names[i])
+        region = F.lit(2 * len(own))
+        for k, (low, high) in reversed(list(enumerate(own))):
+            region = F.when(value < low, 2 * k).when(value <= high, 2 * k + 1).otherwise(region)
+        region = F.when(value.isNotNull(), region)
         pieces.append(F.struct(
-            F.lit(n).alias("column_name"), F.lit(label).alias("label"), value.alias("value")
+            F.lit(i).alias("column"), region.alias("region"),
+            F.when(region % 2 == 1, value).alias("value"),
         ))
-    wanted = spark.createDataFrame(
-        targets, "column_name string, label string, first bigint, last bigint, part double"
-    )
     collapsed = (
         df.select(F.inline(F.array(*pieces)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "label", "value")
+        .filter(F.col("region").isNotNull())
+        .groupBy("column", "region", "value")
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
     ranked = running_totals(
-        collapsed, [F.col("value")], {"n_equal": "last_rank"}, ["column_name", "label"]
-    ).join(wanted, ["column_name", "label"])
+        collapsed, [F.col("region"), F.col("value")], {"n_equal": "last_rank"}, ["column"]
+    )
+    wanted = df.sparkSession.createDataFrame(
+        list(targets), "column int, label string, first bigint, last bigint, part double"
+    )
 
     def value_at(rank: str) -> Column:
         lowest = F.col("last_rank") - F.col("n_equal") + 1
         return F.max(F.when(F.col(rank).between(lowest, F.col("last_rank")), F.col("value")))
 
-    ends = ranked.groupBy("column_name", "label", "part").agg(
+    return ranked.join(wanted, "column").groupBy("column", "label", "part").agg(
         value_at("first").alias("low"), value_at("last").alias("high")
     )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-    return ends.groupBy("column_name").agg(*[
-        F.max(F.when(F.col("label") == q, value)).alias(q) for q in quantiles
-    ])
 
 
 def describe_categorical(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -231,32 +275,17 @@ def headline_facts(
     })
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both are given; null when one of them is constant.
-
-    NaN counts as missing, as in the other profiles.
-    """
-    x, y = (f"nullif(CAST(`{c}` AS double), double('NaN'))" for c in (a, b))
-    return F.expr(
-        f"covar_pop({x}, {y}) / nullif("
-        f"stddev_pop(if({y} IS NULL, NULL, {x})) * stddev_pop(if({x} IS NULL, NULL, {y}))"
-        ", 0)"
-    )
-
-
-def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    one_row = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    columns = F.arrays_zip(
-        F.lit([a for a, _ in pairs]).alias("feature_1"),
-        F.lit([b for _, b in pairs]).alias("feature_2"),
-        F.array(*[f"`{a}|{b}`" for a, b in pairs]).alias("correlation"),
-    )
-    return one_row.select(F.inline(columns))
+def _correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each unordered pair of columns, a column with itself included, with its correlation."""
+    return pair_moments(df, names).select("feature_1", "feature_2", pearson().alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair of columns, one row per pair."""
-    pairs = _pair_rows(df, [*combinations(names, 2), *[(n, n) for n in names]])
+    """Pearson correlation of every ordered pair of columns, one row per pair.
+
+    Over the rows where both are given, null when one of them is constant there; NaN counts as missing.
+    """
+    pairs = _correlations(df, names)
     mirrored = F.when(
         F.col("feature_1") != F.col("feature_2"),
         F.array(
@@ -269,7 +298,7 @@ def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, names: Sequence[str], above: float = 0.1) -> DataFrame:
     """Unordered pairs with their absolute correlation: over the limit, below 1, descending."""
-    pairs = _pair_rows(df, list(combinations(names, 2)))
+    pairs = _correlations(df, names).where("feature_1 <> feature_2")
     strength = F.abs(F.col("correlation"))
     return (
         pairs.withColumn("correlation", strength)
