@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from areacast.bindings import roles
@@ -92,11 +95,11 @@ SELECT area, week, count(*) AS n_rows,
 FROM rows_scored GROUP BY area, week"""
 
 
-def stream_publish(spark, sf_dir):
+def _published(spark, sf_dir, spec):
     """Events that arrive in two parts, scored by area and week and published: rows equal to the batch's."""
     drop, path = scratch_path(spark, "arrivals"), scratch_path(spark, "published")
-    kept, progress = scratch_path(spark, "rows"), scratch_path(spark, "progress")
-    spec, areas = roles.SHARE_SPEC, roles.areas(spark, sf_dir)
+    kept, progress = scratch_path(spark, "state"), scratch_path(spark, "progress")
+    areas = roles.areas(spark, sf_dir)
     base = tables.written(roles.base(spark, sf_dir, spec), "base")
     score.store(base, path, spec)
     rows = learn.training_rows(base, spec.features, spec.label)
@@ -117,17 +120,31 @@ def stream_publish(spark, sf_dir):
     stored = tables.read_folder(spark, path, score.base_schema(spec)).where(
         F.col(spec.kind) == PREDICTED
     )
-    batch = score.score(weather, areas, model, spec, means).select(
-        "area", F.col("week").cast("string").alias("week"), F.col("cases").alias("expected")
+    batch = score.score(weather, areas, model, spec, means)
+    same = [spec.label, *spec.features]
+    batch = batch.select(
+        "area", F.col("week").cast("string").alias("week"),
+        *[F.col(c).alias(f"expected_{c}") for c in same],
     )
     both = stored.join(batch, ["area", "week"], "full")
+    equal = reduce(and_, [F.abs(F.col(c) - F.col(f"expected_{c}")) < 1e-6 for c in same])
     return both.groupBy("area").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.abs(F.col("cases") - F.col("expected")) < 1e-6).alias("n_equal"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(equal).alias("n_equal")
     )
 
 
+def stream_publish(spark, sf_dir):
+    """Arrivals with the stations as shares of the week: touched weeks are scored again."""
+    return _published(spark, sf_dir, roles.SHARE_SPEC)
+
+
+def stream_publish_counts(spark, sf_dir):
+    """The same with the stations as counts over the period: each batch changes all weeks."""
+    return _published(spark, sf_dir, SPEC)
+
+
 QUERIES["stream_publish"] = stream_publish
+QUERIES["stream_publish_counts"] = stream_publish_counts
 ORACLES["stream_publish"] = f"""WITH {roles.AREAS_SQL},
 arrived AS (
   SELECT r_name AS obs_station, CAST(ts AS DATE) AS obs_date
@@ -141,6 +158,7 @@ weeks AS (
 )
 SELECT area, count(DISTINCT week) AS n_rows, count(DISTINCT week) AS n_equal
 FROM weeks GROUP BY area"""
+ORACLES["stream_publish_counts"] = ORACLES["stream_publish"]
 
 
 def stream_weekly_rollup(spark, sf_dir):

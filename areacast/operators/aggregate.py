@@ -118,6 +118,16 @@ def model_base(
         *[_mean(m, weight).alias(m) for m in measures],
         *[F.sum(F.when(F.col(station) == v, one)).alias(n) for v, n in stations.items()],
     )
+    return encoded_stations(weekly, area, label, stations, encoding)
+
+
+def encoded_stations(
+    weekly: DataFrame, area: str, label: str, stations: Mapping[str, str], encoding: str
+) -> DataFrame:
+    """Area-weeks whose station columns hold numbers of rows, with these columns encoded.
+
+    For ``count`` all weeks of an area have to be there.
+    """
     if encoding == "share":
         return weekly.withColumns({
             n: F.coalesce(F.col(n) / F.col(label), F.lit(0.0)) for n in stations.values()

@@ -53,11 +53,31 @@ def sentinel_fill(df: DataFrame, names: Sequence[str], unknown: str = UNKNOWN) -
     return df.withColumns({n: name_or_unknown(F.col(n), unknown) for n in names})
 
 
-def _given(name: str) -> Column:
+def given(name: str) -> Column:
+    """The value as a double; NaN counts as missing."""
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
 
 
+def mean_columns(means: DataFrame | Mapping[str, float], names: Sequence[str]) -> dict[str, Column]:
+    """The mean of each named column as a column that raises an error where there is none.
+
+    A row of means becomes one scalar subquery holding all of them.
+    """
+    if isinstance(means, Mapping):
+        mean_of = {n: F.lit(float(means[n])) for n in names}
+    else:
+        packed = means.select(F.struct(*[F.col(n) for n in names]).alias("means")).scalar()
+        mean_of = {n: packed.getField(n) for n in names}
+    return {
+        n: F.coalesce(
+            mean_of[n],
+            F.raise_error(F.lit(f"column {n} has no value to take a mean of")).cast("double"),
+        )
+        for n in names
+    }
+
+
 def column_means(df: DataFrame, names: Sequence[str], weight: str | None = None) -> DataFrame:
     """One row with the mean of the given values of each column; NaN counts as missing.
 
@@ -66,7 +86,7 @@ def column_means(df: DataFrame, names: Sequence[str], weight: str | None = None)
     """
 
     def mean(name: str) -> Column:
-        value = _given(name)
+        value = given(name)
         if weight is None:
             return F.avg(value)
         weighed = F.when(value.isNotNull(), F.col(weight))
@@ -88,17 +108,5 @@ def impute_mean(
     holding all of them, so filling is a plain projection: no join, no window.
     A column with no value at all raises an error that names it.
     """
-    if isinstance(means, Mapping):
-        mean_of = {n: F.lit(float(means[n])) for n in names}
-    else:
-        one_row = column_means(df, names, weight) if means is None else means
-        packed = one_row.select(F.struct(*[F.col(n) for n in names]).alias("means")).scalar()
-        mean_of = {n: packed.getField(n) for n in names}
-    return df.withColumns({
-        n: F.coalesce(
-            _given(n),
-            mean_of[n],
-            F.raise_error(F.lit(f"column {n} has no value to take a mean of")).cast("double"),
-        )
-        for n in names
-    })
+    fill = mean_columns(column_means(df, names, weight) if means is None else means, names)
+    return df.withColumns({n: F.coalesce(given(n), fill[n]) for n in names})

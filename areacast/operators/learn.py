@@ -12,13 +12,21 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Bucketizer,
+    Imputer,
+    ImputerModel,
+    IndexToString,
+    SQLTransformer,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areacast.sources.tables import written
+from areacast.sources.tables import folder_exists, written
 
 SEED = 42
 
@@ -62,9 +70,35 @@ def boosting(label: str, seed: int = SEED, **params) -> GBTRegressor:
     return GBTRegressor(labelCol=label, featuresCol="features", seed=seed, **params)
 
 
-def training_rows(base: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Label and features only, written once: training reads them many times."""
+FOLD = "fold"
+
+
+def with_folds(
+    df: DataFrame, keys: Sequence[str], folds: int, seed: int = SEED, name: str = FOLD
+) -> DataFrame:
+    """Number the fold of each row, 0 to ``folds`` - 1, by a hash of its key.
+
+    The number follows from the text of the key alone, so folds stay the same whatever the order and the partitions of the rows. The
+    hash is the first 8 hexadecimal digits of the md5 of seed and key, joined by ``|``, which other engines can follow.
+    """
+    texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *texts)), 1, 8)
+    number = F.conv(digits, 16, 10).cast("bigint")
+    return df.withColumn(name, F.pmod(number, F.lit(folds)).cast("int"))
+
+
+def training_rows(
+    base: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = (), folds: int = 0,
+    seed: int = SEED,
+) -> DataFrame:
+    """Label and features only, written once: training reads them many times.
+
+    With ``keys`` and ``folds`` also the fold of each row, see :func:`with_folds`.
+    """
     columns = [F.col(label).cast("double").alias(label), *[F.col(f) for f in features]]
+    if folds:
+        base = with_folds(base, keys, folds, seed, "_fold")
+        columns.append(F.col("_fold").alias(FOLD))
     return written(base.select(*columns), "training")
 
 
@@ -83,6 +117,7 @@ SLOW_GRID = {
     "minInstancesPerNode": [5],
 }
 GRIDS = {"default": GRID, "slow": SLOW_GRID}
+FOLDS = {"default": 3, "slow": 5}
 
 
 def boosting_grid(estimator: GBTRegressor, grid: Mapping[str, Sequence] = GRID) -> list:
@@ -105,18 +140,19 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Grid search over boosting parameters with k folds.
 
-    ``rows`` should be :func:`training_rows`: the folds are drawn by a seeded random
-    number per row and are the same on every read only if the rows come in a fixed order.
+    Folds are those that :func:`training_rows` has numbered, so that a repartitioned or repeated read splits alike. Rows without
+    them are split by a seeded random number per row, which is the same only if the rows come in a fixed order.
     """
     estimator = boosting(label, seed)
-    return CrossValidator(
+    search = CrossValidator(
         estimator=Pipeline(stages=[assembler(features), estimator]),
         estimatorParamMaps=boosting_grid(estimator, grid),
         evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
-    ).fit(rows)
+    )
+    return (search.setFoldCol(FOLD) if FOLD in rows.columns else search).fit(rows)
 
 
 def cv_report(model: CrossValidatorModel, rows: DataFrame) -> DataFrame:
@@ -209,6 +245,78 @@ def fit_kind(
     return PipelineModel(stages=[vectors, fitted, back, number])
 
 
+#: Upper ends of the count bands: fixed values.
+BANDS = (1.0, 3.0, 10.0, 30.0)
+BAND_CLASSIFIERS = {
+    "logistic": lambda seed: LogisticRegression(labelCol="_band"),
+    "decision_tree": lambda seed: DecisionTreeClassifier(labelCol="_band", seed=seed),
+    "random_forest": lambda seed: RandomForestClassifier(labelCol="_band", seed=seed, numTrees=100),
+}
+
+
+def bucketizer(column: str, band: str, ends: Sequence[float] = BANDS) -> Bucketizer:
+    """Counts to bands: band 0 is below the first end, band i from the i-th end to below the next one."""
+    splits = [float("-inf"), *ends, float("inf")]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=band, handleInvalid="error")
+
+
+def fit_bands(
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str,
+    kind: str = "random_forest",
+    ends: Sequence[float] = BANDS,
+    seed: int = SEED,
+) -> PipelineModel:
+    """A classifier of the band of the count; its model gives the number of the band as ``band``.
+
+    The bands are declared, so their number does not grow with the data as that of distinct counts does.
+    """
+    vectors = assembler(features)
+    marked = bucketizer(label, "_band", ends).transform(vectors.transform(rows))
+    classifier = BAND_CLASSIFIERS[kind](seed).setPredictionCol("band")
+    return PipelineModel(stages=[vectors, classifier.fit(marked)])
+
+
+def band_metrics(
+    scored: DataFrame, label: str, predicted: str, ends: Sequence[float] = BANDS, of_count: bool = False
+) -> DataFrame:
+    """Rows, predicted rows, hits, precision, recall and F1 of each declared band, those without rows included.
+
+    ``predicted`` holds numbers of bands, or counts that are put into bands first (``of_count``).
+    """
+    banded = bucketizer(label, "_actual", ends).transform(
+        scored.select(F.col(label).cast("double").alias(label), F.col(predicted).cast("double").alias("_given"))
+    )
+    if of_count:
+        banded = bucketizer("_given", "_guess", ends).transform(banded)
+    else:
+        banded = banded.withColumnRenamed("_given", "_guess")
+    # Rows shrink to one per pair of bands before they are dealt to both.
+    pairs = banded.groupBy("_actual", "_guess").agg(F.count(F.lit(1)).alias("_n"))
+    sides = F.array(
+        *[
+            F.struct(F.col(side).cast("int").alias("band"), F.lit(i).alias("side"))
+            for i, side in enumerate(("_actual", "_guess"))
+        ]
+    )
+    each = pairs.select(F.explode(sides).alias("s"), "_n", (F.col("_actual") == F.col("_guess")).alias("hit"))
+    declared = F.sequence(F.lit(0), F.lit(len(ends)))
+    bands = scored.sparkSession.range(1).select(F.explode(declared).alias("band"))
+    counted = each.groupBy(F.col("s.band").alias("band")).agg(
+        F.sum(F.when(F.col("s.side") == 0, F.col("_n"))).alias("n_rows"),
+        F.sum(F.when(F.col("s.side") == 1, F.col("_n"))).alias("n_predicted"),
+        F.sum(F.when((F.col("s.side") == 0) & F.col("hit"), F.col("_n"))).alias("n_hits"),
+    )
+    full = bands.join(counted, "band", "left").fillna(0)
+    hits = F.col("n_hits").cast("double")
+    return full.withColumns({
+        "precision": hits / F.nullif(F.col("n_predicted"), F.lit(0)),
+        "recall": hits / F.nullif(F.col("n_rows"), F.lit(0)),
+        "f1": 2 * hits / F.nullif(F.col("n_rows") + F.col("n_predicted"), F.lit(0)),
+    })
+
+
 def compare_kinds(
     train: DataFrame,
     test: DataFrame,
@@ -226,9 +334,28 @@ def compare_kinds(
     return reduce(DataFrame.unionByName, reports)
 
 
-def save_model(model: PipelineModel, path: str, encoding: str | None = None) -> None:
-    """Save a pipeline, and with it how the station columns it learned from are encoded."""
+def fit_imputer(means: DataFrame, names: Sequence[str]) -> ImputerModel:
+    """Spark ML's imputer that fills nulls and NaN with given means, the one row of :func:`clean.column_means`.
+
+    The means of training are taken over case rows, before these become area-weeks, so they are not
+    the means of the rows that the model learns from: the imputer is fitted on the means themselves.
+    """
+    row = means.select(*[F.col(n).cast("double").alias(n) for n in names])
+    return Imputer(strategy="mean", inputCols=list(names), outputCols=list(names)).fit(row)
+
+
+def imputer_means(imputer: ImputerModel) -> dict[str, float]:
+    """The numbers that an imputer fills with."""
+    return imputer.surrogateDF.select(*imputer.getInputCols()).first().asDict()
+
+
+def save_model(
+    model: PipelineModel, path: str, encoding: str | None = None, imputer: ImputerModel | None = None
+) -> None:
+    """Save a pipeline, and with it how the station columns it learned from are encoded and what fills its gaps."""
     model.write().overwrite().save(path)
+    if imputer is not None:
+        PipelineModel(stages=[imputer]).write().overwrite().save(f"{path}/rows")
     if encoding is not None:
         spark = SparkSession.active()
         spark.createDataFrame([(encoding,)], "encoding string").coalesce(1).write.mode(
@@ -236,6 +363,16 @@ def save_model(model: PipelineModel, path: str, encoding: str | None = None) ->
         ).json(f"{path}/encoding")
 
 
+def load_imputer(path: str, names: Sequence[str] | None = None) -> ImputerModel | None:
+    """The row-level imputer of a saved model; None if it was saved without. With ``names`` it has to fill these."""
+    if not folder_exists(SparkSession.active(), f"{path}/rows"):
+        return None
+    imputer = PipelineModel.load(f"{path}/rows").stages[0]
+    if names is not None and imputer.getInputCols() != list(names):
+        raise ValueError(f"the model fills {imputer.getInputCols()}")
+    return imputer
+
+
 def load_model(
     path: str, features: Sequence[str] | None = None, encoding: str | None = None
 ) -> PipelineModel:

@@ -40,10 +40,16 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+def hadoop_folder(spark: SparkSession, path: str):
+    """The file system of a path and the path in its terms."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the work folder; Hadoop drops it when the session ends."""
     path = f"{work_root(spark).rstrip('/')}/areacast/{name}-{uuid.uuid4().hex}"
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    system, folder = hadoop_folder(spark, path)
+    system.deleteOnExit(folder)
     return path

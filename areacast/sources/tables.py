@@ -3,26 +3,96 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from areacast.session import scratch_path
+from areacast.session import hadoop_folder, scratch_path
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def create_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table from the rows; leave an existing one alone."""
-    df.write.mode("ignore").partitionBy(*partition_by).saveAsTable(name)
+def create_table(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+    path: str | None = None,
+    mode: str = "ignore",
+) -> None:
+    """Create the table from the rows; leave an existing one alone.
+
+    Later inserts replace only the partitions that they bring, see :func:`overwrite_table_partitions`. With ``bucket_by`` the rows are
+    stored in so many buckets, sorted by these columns: tables of the same buckets are joined on them without a shuffle.
+    """
+    writer = df.write.mode(mode).partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> None:
     """Replace the table by the rows. The rows must not come from the table itself."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    create_table(df, name, partition_by, path=path, mode="overwrite")
+
+
+def overwrite_table_partitions(df: DataFrame, name: str) -> None:
+    """Replace only the partitions of the table that occur in the rows; columns go by name.
+
+    The table has to be made by :func:`create_table`: it remembers how it is to be overwritten.
+    """
+    df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A table kept as a parquet folder."""
+
+    path: str
+
+    def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
+        return read_folder(spark, self.path, schema)
+
+    def replace(self, df: DataFrame, partition_by: Sequence[str]) -> None:
+        overwrite_folder(df, self.path, partition_by)
+
+    def replace_partitions(self, df: DataFrame, partition_by: Sequence[str]) -> None:
+        overwrite_partitions(df, self.path, partition_by)
+
+
+@dataclass(frozen=True)
+class CatalogTable:
+    """A table of the session's catalog; ``path`` places its files when it is created."""
+
+    name: str
+    path: str | None = None
+
+    def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
+        return read_table(spark, self.name)
+
+    def replace(self, df: DataFrame, partition_by: Sequence[str]) -> None:
+        overwrite_table(df, self.name, partition_by, self.path)
+
+    def replace_partitions(self, df: DataFrame, partition_by: Sequence[str]) -> None:
+        create_table(df.limit(0), self.name, partition_by, path=self.path)
+        overwrite_table_partitions(df, self.name)
+
+
+Place = Folder | CatalogTable
+
+
+def place(where: str | Place) -> Place:
+    """A path stands for a folder."""
+    return Folder(where) if isinstance(where, str) else where
 
 
 def read_folder(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -40,6 +110,20 @@ def overwrite_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     )
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = hadoop_folder(spark, path)
+    return system.exists(folder)
+
+
+def drop_partition(spark: SparkSession, path: str, partition: Sequence[tuple[str, object]]) -> None:
+    """Delete one partition of a parquet folder, given as (column, value) pairs."""
+    # Fixed value -- the folder name of a null partition.
+    null = "__HIVE_DEFAULT_PARTITION__"
+    parts = [f"{name}={null if value is None else value}" for name, value in partition]
+    system, folder = hadoop_folder(spark, "/".join([path.rstrip("/"), *parts]))
+    system.delete(folder, True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that occur in the rows; the others stay as they are."""
     (
@@ -50,6 +134,17 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def distinct_values(df: DataFrame, key: str) -> list:
+    """The values of a key that partitions a table, on the driver; null among them. For weeks and the like only."""
+    return [row[0] for row in df.select(key).distinct().collect()]
+
+
+def one_of(key: str, values: Sequence) -> Column:
+    """Whether the key is one of the listed values, null included; on a partition column it prunes the read."""
+    listed = F.col(key).isin([v for v in values if v is not None])
+    return listed | F.col(key).isNull() if None in values else listed
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once to the work folder and read back.
 

@@ -1,9 +1,8 @@
 """Scoring of files as they arrive.
 
-Cleaning and the expansion to areas are row-wise, so they run inside the streaming query itself. Means
-and model are fixed artefacts of training: a stream has no mean of its own. A prediction is one of an
-area and week: :func:`publish_arrivals` keeps the cleaned rows by week and scores the weeks that a batch
-touches anew, so a week that arrives in parts ends as if it had come at once.
+Means and model are fixed artefacts of training: a stream has no mean of its own. A prediction is one of an
+area and week: :func:`publish_arrivals` keeps sums per station and week and scores the weeks that a batch
+changes anew, so a week that arrives in parts ends as if it had come at once.
 """
 
 from __future__ import annotations
@@ -11,18 +10,30 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import ImputerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from areacast.plans.score import clean_request, publish, request_rows, score_rows
+from areacast.operators.partials import ROWS, given_of, sum_of
+from areacast.plans.score import (
+    clean_request,
+    predicted,
+    publish,
+    request_rows,
+    weekly_weather,
+    weeks_base,
+)
 from areacast.plans.spec import BaseSpec
+from areacast.sources.rejects import ACCEPTED, REJECTED, VERDICT
+from areacast.sources.tables import Place, overwrite_partitions, written
+from areacast.streaming import state
 
 
 def arrival_rows(
     weather: DataFrame,
     areas: DataFrame,
-    means: Mapping[str, float],
+    means: ImputerModel | Mapping[str, float],
     spec: BaseSpec = BaseSpec(),
     week_rule: str = "iso",
 ) -> DataFrame:
@@ -34,51 +45,88 @@ def arrival_rows(
     })
 
 
-def score_arrivals(
+def preview_scores(
     weather: DataFrame,
     areas: DataFrame,
     model: PipelineModel,
-    means: Mapping[str, float],
+    means: ImputerModel | Mapping[str, float],
     spec: BaseSpec = BaseSpec(),
     week_rule: str = "iso",
 ) -> DataFrame:
-    """Feature rows of a stream with their prediction."""
+    """A first look at arriving days: each day and area as if its week consisted of this day.
+
+    Not what is published: a prediction is one of an area and week, see :func:`publish_arrivals`.
+    """
     return model.transform(arrival_rows(weather, areas, means, spec, week_rule)).drop("features")
 
 
+def _state_schema(spec: BaseSpec) -> str:
+    sums = ", ".join(f"`{sum_of(m)}` double, `{given_of(m)}` bigint" for m in spec.measures)
+    return f"`{spec.obs_station}` string, `{ROWS}` bigint, {sums}, `{spec.week}` int"
+
+
+def apply_batch(
+    weather: DataFrame,
+    number: int,
+    areas: DataFrame,
+    model: PipelineModel,
+    means: ImputerModel | Mapping[str, float],
+    state_path: str,
+    base_path: str | Place,
+    spec: BaseSpec = BaseSpec(),
+    week_rule: str = "iso",
+) -> None:
+    """Add prepared weather to the state, score the weeks that this changes, and publish them into the base.
+
+    With stations as shares these are the weeks that the batch touches. As counts over the whole period they
+    depend on all weeks, so all are scored again, from their partials. A batch that runs
+    twice leaves what it leaves once.
+    """
+    keys = [spec.obs_station, spec.week]
+    arrived = weekly_weather(weather, spec, week_rule)
+    weeks = state.advance(arrived, state_path, keys, spec.week, spec.measures, number)
+    if not weeks:
+        return
+    changed = state.latest(
+        weather.sparkSession, state_path, _state_schema(spec), spec.week,
+        None if spec.station_encoding == "count" else weeks, before=number + 1,
+    )
+    publish(predicted(weeks_base(changed, areas, spec, means), model, spec), base_path, spec)
+
+
 def publish_arrivals(
     weather: DataFrame,
     areas: DataFrame,
     model: PipelineModel,
-    means: Mapping[str, float],
-    rows_path: str,
-    base_path: str,
+    means: ImputerModel | Mapping[str, float],
+    state_path: str,
+    base_path: str | Place,
     checkpoint: str,
     spec: BaseSpec = BaseSpec(),
     week_rule: str = "iso",
     wait: bool = True,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Score what has arrived since the last run per area and week, and publish it into the base.
 
-    Each batch has a folder of its own under ``rows_path`` and replaces it when it is repeated, and publishing
-    replaces predictions by key: a batch that runs twice leaves what it leaves once.
+    ``weather`` is a stream of prepared weather. Rows are summed by station and week as they arrive and never
+    read again: each batch reads the partials of the weeks it touches (:mod:`areacast.streaming.state`).
+    With ``rejects_path`` the stream is one of checked lines (:func:`rejects.check_weather`): rejected ones go to that folder,
+    a partition per batch, accepted ones are scored.
     """
-    rows = clean_request(request_rows(weather, areas, spec, week_rule), spec, means)
-    rows = rows.select(spec.area, spec.station, spec.week, *spec.means)
-    schema = rows.schema
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{rows_path}/batch={number}")
-        arrived = spark.read.schema(schema).parquet(f"{rows_path}/batch={number}")
-        weeks = arrived.select(F.col(spec.week).alias("_week")).distinct()
-        so_far = spark.read.schema(schema).parquet(rows_path).join(
-            weeks, F.col(spec.week).eqNullSafe(F.col("_week")), "left_semi"
-        )
-        publish(score_rows(so_far, model, spec), base_path, spec)
+        if rejects_path is not None:
+            checked = written(batch, "checked")
+            rejected = checked.where(F.col(VERDICT) == REJECTED).drop(VERDICT)
+            overwrite_partitions(rejected.withColumn("batch", F.lit(number)), rejects_path, ["batch"])
+            batch = checked.where(F.col(VERDICT) == ACCEPTED).select(
+                spec.obs_station, spec.obs_date, *spec.measures
+            )
+        apply_batch(batch, number, areas, model, means, state_path, base_path, spec, week_rule)
 
     query = (
-        rows.writeStream.option("checkpointLocation", checkpoint)
+        weather.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(each)
         .start()

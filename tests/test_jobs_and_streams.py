@@ -187,7 +187,7 @@ def test_arrivals_are_scored_once_and_as_in_batch(spark, tmp_path):
             spark.createDataFrame(data, schema), drop, sep=";", mode="append"
         )
         stream = delimited.read_delimited(spark.readStream, drop, schema, sep=";")
-        scored = arrivals.score_arrivals(prepare_weather(stream, SPEC), areas, model, means, SPEC)
+        scored = arrivals.preview_scores(prepare_weather(stream, SPEC), areas, model, means, SPEC)
         arrivals.to_folder(scored, out, progress)
         return spark.read.schema(scored.schema).parquet(out)
 
@@ -197,7 +197,7 @@ def test_arrivals_are_scored_once_and_as_in_batch(spark, tmp_path):
     second = [("CABROBÓ", "02/03/2017", None, "21,0", "27,0")]
     stored = arrive(second)
     batch = prepare_weather(spark.createDataFrame(first + second, schema), SPEC)
-    expected = arrivals.score_arrivals(batch, areas, model, means, SPEC)
+    expected = arrivals.preview_scores(batch, areas, model, means, SPEC)
     assert rows(stored.select(columns)) == rows(expected.select(columns))
     assert stored.filter("estacao_cabrobo = 1").select("temp_maxima").first()[0] == 31.0
 
