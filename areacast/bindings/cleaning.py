@@ -22,7 +22,7 @@ from areacast.functions import (
 )
 from areacast.operators import clean, schema
 from areacast.session import scratch_path
-from areacast.sources import delimited, requests, tables
+from areacast.sources import delimited, rejects, requests, tables
 
 QUERIES = {}
 ORACLES = {}
@@ -321,6 +321,93 @@ SELECT l_orderkey, l_linenumber, concat_ws(',',
 FROM form"""
 
 
+REJECT_BOUNDS = {m: (1, 50) for m in ("temp_max", "temp_min", "temp_mean")}
+FILE_COLUMNS = ["obs_station", "obs_date", *roles.OBS_MEASURES]
+
+
+def _weather_lines(spark, sf_dir):
+    """A weather file of which some lines have a field too many, a day that does not exist or no station."""
+    day = F.substring("obs_date", 1, 2)
+    text = roles.obs_text(spark, sf_dir).withColumns({
+        "obs_station": F.when(day != "07", F.col("obs_station")),
+        "obs_date": F.when(day == "17", F.concat(F.lit("31/02/"), F.substring("obs_date", 7, 4)))
+        .otherwise(F.col("obs_date")),
+        "more": F.when(day == "13", F.lit(";x")),
+    })
+    line = F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in FILE_COLUMNS])
+    path = scratch_path(spark, "lines")
+    text.select(F.concat(line, F.coalesce("more", F.lit("")))).write.text(path)
+    return path
+
+
+def _checked(source, path):
+    lines = rejects.read_lines(source, path, FILE_COLUMNS, header=False)
+    return rejects.check_weather(
+        lines, roles.OBS_MEASURES, "obs_date", "obs_station", REJECT_BOUNDS, ("temp_min", "temp_max")
+    )
+
+
+def _verdicts(checked, out):
+    """Accepted rows, and rejected ones by reason."""
+    kept = rejects.sorted_rows(checked, out, rejects.ACCEPTED)
+    counts = rejects.reason_counts(rejects.sorted_rows(checked, out, rejects.REJECTED))
+    return counts.unionByName(kept.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reason", F.lit("")))
+
+
+def file_rejects(spark, sf_dir):
+    """A weather file sorted into accepted and rejected rows."""
+    checked = _checked(spark.read, _weather_lines(spark, sf_dir))
+    out = scratch_path(spark, "sorted")
+    rejects.sort_out(checked, out)
+    return _verdicts(checked, out)
+
+
+def stream_file_rejects(spark, sf_dir):
+    """The same as the files arrive."""
+    checked = _checked(spark.readStream, _weather_lines(spark, sf_dir))
+    out = scratch_path(spark, "sorted")
+    rejects.sort_out_stream(checked, out, scratch_path(spark, "progress"))
+    return _verdicts(checked, out)
+
+
+QUERIES["file_rejects"] = file_rejects
+QUERIES["stream_file_rejects"] = stream_file_rejects
+ORACLES["file_rejects"] = f"""WITH {roles.OBS_TEXT_SQL},
+numbers AS (
+  SELECT substr(obs_date, 1, 2) AS day, rain,
+         CAST(replace(temp_max, ',', '.') AS DOUBLE) AS temp_max,
+         CAST(replace(temp_min, ',', '.') AS DOUBLE) AS temp_min,
+         CAST(replace(temp_mean, ',', '.') AS DOUBLE) AS temp_mean
+  FROM obs_text
+),
+reasons AS (
+  SELECT CASE WHEN day = '13' THEN ['line'] ELSE list_filter([
+    CASE WHEN day = '07' THEN 'obs_station' END, CASE WHEN day = '17' THEN 'obs_date' END,
+    CASE WHEN rain = 'n/d' THEN 'rain' END,
+    {", ".join(f"CASE WHEN {m} NOT BETWEEN 1 AND 50 THEN '{m}' END" for m in REJECT_BOUNDS)},
+    CASE WHEN temp_min > temp_max THEN 'temp_min>temp_max' END], lambda r: r IS NOT NULL) END AS found
+  FROM numbers
+)
+SELECT reason, count(*) AS n_rows FROM (SELECT unnest(found) AS reason FROM reasons) GROUP BY reason
+UNION ALL SELECT '', count(*) FROM reasons WHERE len(found) = 0"""
+ORACLES["stream_file_rejects"] = ORACLES["file_rejects"]
+
+
+def csv_latin1(spark, sf_dir):
+    """Names with accents written and read in another encoding."""
+    path = scratch_path(spark, "latin1")
+    names = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"), F.concat(F.lit("ÁGUA ç "), "s_name").alias("name")
+    )
+    delimited.write_delimited(names, path, ";", encoding="ISO-8859-1")
+    read = delimited.read_by_header(spark, path, ";", "ISO-8859-1")
+    return delimited.typed(read, {"id": "bigint", "name": "string"})
+
+
+QUERIES["csv_latin1"] = csv_latin1
+ORACLES["csv_latin1"] = "SELECT s_suppkey AS id, 'ÁGUA ç ' || s_name AS name FROM supplier"
+
+
 def harmonized_union(spark, sf_dir):
     rows = roles.cases(spark, sf_dir)
     return rows.withColumns({

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, fixed_prediction, iso_day, rounded
 from areacast.operators import aggregate, joins, merge, report, schema
-from areacast.plans.score import stored_rows
+from areacast.plans.score import base_schema, stored_rows
 from areacast.plans.training_base import ROWS
 from areacast.session import scratch_path
 from areacast.sources import tables
@@ -279,6 +281,49 @@ QUERIES["table_overwrite"] = table_overwrite
 ORACLES["table_overwrite"] = ORACLES["merge_predictions"]
 
 
+def catalog_overwrite(spark, sf_dir):
+    """A catalog table made once if absent, its predictions replaced by later ones, read by name."""
+    base, predicted = _history_and_predictions(spark, sf_dir)
+    name = f"areacast_base_{uuid.uuid4().hex}"
+    where = tables.CatalogTable(name, scratch_path(spark, "catalog"))
+    for history in (base, base.limit(0)):
+        tables.create_table(stored_rows(history, SPEC), name, ["kind", "week"], path=where.path)
+    for predictions in (predicted.withColumn("cases", F.lit(0.0)), predicted):
+        where.replace_partitions(stored_rows(predictions, SPEC), ["kind", "week"])
+    stored = where.read(spark, base_schema(SPEC)).select(*SPEC.base_columns)
+    return rounded(stored, *SPEC.means)
+
+
+QUERIES["catalog_overwrite"] = catalog_overwrite
+ORACLES["catalog_overwrite"] = ORACLES["merge_predictions"]
+
+
+def enrich_weather_bucketed(spark, sf_dir):
+    """Cases and weather stored in buckets by station and day, joined without a shuffle."""
+    with_area = joins.enrich_area(
+        roles.cases(spark, sf_dir), roles.areas(spark, sf_dir), "area", "dim_area"
+    )
+    stored = {}
+    for role, rows, keys in (
+        ("cases", with_area, ["station", "onset"]), ("weather", roles.obs(spark, sf_dir), ["obs_station", "obs_date"]),
+    ):
+        stored[role] = f"areacast_{role}_{uuid.uuid4().hex}"
+        tables.create_table(
+            rows, stored[role], bucket_by=keys, buckets=8, path=scratch_path(spark, role)
+        )
+    joined = joins.enrich_weather(
+        tables.read_table(spark, stored["cases"]), tables.read_table(spark, stored["weather"]),
+        "station", "onset", "obs_station", "obs_date",
+    )
+    return joined.select(
+        "case_id", "station", iso_day("onset").alias("onset"), "temp_max", "temp_min", "temp_mean"
+    )
+
+
+QUERIES["enrich_weather_bucketed"] = enrich_weather_bucketed
+ORACLES["enrich_weather_bucketed"] = ORACLES["enrich_weather_left"]
+
+
 def actual_vs_predicted(spark, sf_dir):
     compared = report.actual_vs_predicted(
         _merged(spark, sf_dir), "area", "week", "cases", "kind"

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, fixed_prediction, rounded
-from areacast.operators import learn
+from areacast.operators import aggregate, learn
 from areacast.plans import score, train
+from areacast.plans.training_base import ROWS, training_means
 from areacast.session import scratch_path
 from areacast.sources import tables
 
@@ -58,6 +59,88 @@ SELECT DISTINCT area, week, CASE WHEN week % 10 < 7 THEN 'train' ELSE 'test' END
 FROM cleaned"""
 
 
+def cv_folds(spark, sf_dir):
+    """Rows per fold of the area-weeks; the folds follow from the keys alone."""
+    folded = learn.with_folds(roles.base(spark, sf_dir), ["area", "week"], 5)
+    return folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cases").alias("cases"))
+
+
+QUERIES["cv_folds"] = cv_folds
+ORACLES["cv_folds"] = f"""WITH {roles.BASE_SQL}
+SELECT CAST(CAST('0x' || substr(md5('{learn.SEED}|' || area || '|' || week), 1, 8) AS UBIGINT) % 5 AS INTEGER)
+         AS fold, count(*) AS n_rows, CAST(sum(cases) AS BIGINT) AS cases
+FROM base GROUP BY 1"""
+
+
+def band_metrics(spark, sf_dir):
+    """Bands of counts, their rows, and how well a fixed predictor meets them."""
+    scored = roles.base(spark, sf_dir).withColumn("prediction", fixed_prediction())
+    found = learn.band_metrics(scored, "cases", "prediction", ends=(2, 4, 8, 100), of_count=True)
+    return rounded(found, "precision", "recall", "f1")
+
+
+QUERIES["band_metrics"] = band_metrics
+ORACLES["band_metrics"] = f"""WITH {roles.BASE_SQL},
+banded AS (
+  SELECT {", ".join(f"CAST(({v} >= 2) AS INTEGER) + CAST(({v} >= 4) AS INTEGER) + CAST(({v} >= 8) AS INTEGER)"
+                    f" + CAST(({v} >= 100) AS INTEGER) AS {n}"
+                    for v, n in (("cases", "actual"), ("cases * 0.75 + (week % 100) * 0.125", "guess")))}
+  FROM base
+),
+counted AS (
+  SELECT CAST(b AS INTEGER) AS band, (SELECT count(*) FROM banded WHERE actual = b) AS n_rows,
+         (SELECT count(*) FROM banded WHERE guess = b) AS n_predicted,
+         (SELECT count(*) FROM banded WHERE actual = b AND guess = b) AS n_hits
+  FROM range(5) r(b)
+)
+SELECT band, n_rows, n_predicted, n_hits, round(n_hits / nullif(n_predicted, 0), 8) AS precision,
+       round(n_hits / nullif(n_rows, 0), 8) AS recall,
+       round(2 * n_hits / nullif(n_rows + n_predicted, 0), 8) AS f1
+FROM counted"""
+
+
+def train_bands(spark, sf_dir):
+    """Held-out rows per band of a classifier of bands, and whether its guesses are bands."""
+    rows, test = _by_week(spark, sf_dir)
+    ends = (2, 4, 8, 100)
+    model = learn.fit_bands(rows, FEATURES, "cases", "decision_tree", ends)
+    found = learn.band_metrics(model.transform(test), "cases", "band", ends)
+    total = found.agg(F.sum("n_predicted").alias("n")).scalar()
+    return found.select("band", "n_rows", total.alias("n_predicted"))
+
+
+QUERIES["train_bands"] = train_bands
+ORACLES["train_bands"] = f"""WITH {roles.BASE_SQL}, held AS (SELECT cases FROM base WHERE week % 10 >= 7)
+SELECT CAST(b AS INTEGER) AS band, (
+         SELECT count(*) FROM held WHERE CAST((cases >= 2) AS INTEGER) + CAST((cases >= 4) AS INTEGER)
+           + CAST((cases >= 8) AS INTEGER) + CAST((cases >= 100) AS INTEGER) = b) AS n_rows,
+       (SELECT count(*) FROM held) AS n_predicted
+FROM range(5) r(b)"""
+
+
+def impute_saved(spark, sf_dir):
+    """Gaps filled by the imputer that was saved with a model and loaded again, per area and week."""
+    enriched = roles.enriched(spark, sf_dir)
+    base = _base(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model = learn.fit(
+        learn.training_rows(base, FEATURES, "cases"), FEATURES, learn.boosting("cases", maxIter=1, maxDepth=1)
+    )
+    imputer = learn.fit_imputer(training_means(enriched, SPEC), SPEC.means)
+    learn.save_model(model, path, SPEC.station_encoding, imputer)
+    loaded = learn.load_imputer(path, SPEC.means)
+    filled = score.clean_request(enriched, SPEC, loaded)
+    return rounded(
+        aggregate.area_week_base(filled, "area", "week", SPEC.means, "cases", ROWS), *SPEC.means
+    )
+
+
+QUERIES["impute_saved"] = impute_saved
+ORACLES["impute_saved"] = f"""WITH {roles.CLEANED_SQL}
+SELECT area, week, count(*) AS cases, {", ".join(f"round(avg({m}), 8) AS {m}" for m in SPEC.means)}
+FROM cleaned GROUP BY area, week"""
+
+
 def regression_metrics(spark, sf_dir):
     scored = roles.base(spark, sf_dir).withColumn("prediction", fixed_prediction())
     metrics = learn.regression_metrics(scored, "cases", by=["area"])

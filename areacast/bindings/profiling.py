@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from areacast.bindings import roles
 from areacast.bindings.roles import SPEC, rounded, table
+from areacast.fixed import DAY_FIRST_SLASH
+from areacast.functions import is_reject
 from areacast.operators import aggregate, profile
+from areacast.operators.audit import StageAudit
+from areacast.operators.clean import parse_dates, parse_measures
+from areacast.operators.schema import harmonized_union
+from areacast.plans.training_base import base_of, cleaned_cases, enriched_cases
 from areacast.sources.tables import written
 
 QUERIES = {}
@@ -67,14 +75,37 @@ ORACLES["column_info"] = f"WITH {roles.CASES_SQL}\n" + _union_sql(
 
 
 def stage_audit(spark, sf_dir):
-    files = roles.prepared_files(spark, sf_dir)
-    return profile.stage_audit({
-        **files,
-        "areas": roles.areas(spark, sf_dir),
-        "weather": roles.obs(spark, sf_dir),
-        "union": roles.cases(spark, sf_dir),
-        "base": roles.base(spark, sf_dir),
-    })
+    """Rows and columns of all stages of the base, counted by the writes that make it."""
+    audit = StageAudit()
+    files = {name: audit.watch(name, df) for name, df in roles.prepared_files(spark, sf_dir).items()}
+    cases = audit.watch("union", roles.with_area(
+        harmonized_union(list(files.values()), {"notificacao_ano": "int"}), spark, sf_dir
+    ))
+    areas = audit.watch("areas", roles.areas(spark, sf_dir))
+    weather = audit.watch("weather", roles.obs(spark, sf_dir))
+    enriched = written(enriched_cases(cases, areas, weather, SPEC), "enriched")
+    written(audit.watch("base", base_of(cleaned_cases(enriched, SPEC), SPEC)), "base")
+    return audit.stages(spark)
+
+
+def audit_rejects(spark, sf_dir):
+    """Values that the parse of the weather could not read, per column, counted by the one write."""
+    raw = roles.obs_text(spark, sf_dir)
+    names = ["obs_date", *roles.OBS_MEASURES]
+    kept = raw.withColumns({f"_raw_{n}": F.col(n) for n in names})
+    parsed = parse_measures(parse_dates(kept, {"obs_date": DAY_FIRST_SLASH}), roles.OBS_MEASURES)
+    audit = StageAudit()
+    counts = {n: is_reject(F.col(f"_raw_{n}"), F.col(n)) for n in names}
+    written(audit.watch("weather", parsed, counts), "weather")
+    return audit.counts(spark)
+
+
+QUERIES["audit_rejects"] = audit_rejects
+ORACLES["audit_rejects"] = f"""WITH {roles.OBS_TEXT_SQL},
+n AS (SELECT count(*) FILTER (WHERE rain = 'n/d') AS rain FROM obs_text)
+SELECT 'weather' AS stage, c AS counted,
+       CASE WHEN c = 'rain' THEN (SELECT rain FROM n) ELSE CAST(0 AS BIGINT) END AS n_rows
+FROM (VALUES ('obs_date'), ('rain'), ('temp_max'), ('temp_min'), ('temp_mean')) v(c)"""
 
 
 QUERIES["stage_audit"] = stage_audit

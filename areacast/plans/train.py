@@ -31,12 +31,16 @@ def train(
     spec: BaseSpec = BaseSpec(),
     train_share: float = 0.7,
     seed: int = learn.SEED,
+    folds: int = 3,
     **cv,
 ) -> Trained:
-    """Grid search on the training share; metrics on the rest."""
-    marked = learn.hash_split(observed(base, spec), [spec.area, spec.week], train_share, seed)
-    rows = learn.training_rows(marked.filter("split = 'train'"), spec.features, spec.label)
-    searched = learn.cross_validate(rows, spec.features, spec.label, seed=seed, **cv)
+    """Grid search on the training share, with folds by key; metrics on the rest."""
+    keys = [spec.area, spec.week]
+    marked = learn.hash_split(observed(base, spec), keys, train_share, seed)
+    rows = learn.training_rows(
+        marked.filter("split = 'train'"), spec.features, spec.label, keys, folds, seed
+    )
+    searched = learn.cross_validate(rows, spec.features, spec.label, folds=folds, seed=seed, **cv)
     model = searched.bestModel
     held_out = model.transform(marked.filter("split = 'test'"))
     return Trained(

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacast.fixed import AREA_HEADERS, CASE_HEADERS, DAY_FIRST_SLASH, OBSERVED, WEATHER_HEADERS
+from areacast.functions import is_reject
 from areacast.operators.aggregate import collapse, model_base
+from areacast.operators.audit import StageAudit
 from areacast.operators.clean import (
     alias_values,
     column_means,
@@ -29,15 +31,37 @@ def prepare_areas(areas: DataFrame, spec: BaseSpec = BaseSpec()) -> DataFrame:
     return named.select(spec.dim_area, F.col(spec.population).cast("double"), spec.station)
 
 
-def prepare_weather(weather: DataFrame, spec: BaseSpec = BaseSpec()) -> DataFrame:
+def prepare_weather(
+    weather: DataFrame, spec: BaseSpec = BaseSpec(), date_format: str = DAY_FIRST_SLASH
+) -> DataFrame:
     """Station observations with a date and numbers; only the columns that are joined."""
-    named = normalize_headers(weather, WEATHER_HEADERS)
-    lower = named.toDF(*[c.lower() for c in named.columns])
-    dated = parse_dates(lower, {spec.obs_date: DAY_FIRST_SLASH})
+    lower = _weather_columns(weather)
+    dated = parse_dates(lower, {spec.obs_date: date_format})
     parsed = parse_measures(dated, list(spec.measures))
     return parsed.select(spec.obs_station, spec.obs_date, *spec.measures)
 
 
+def _weather_columns(weather: DataFrame) -> DataFrame:
+    named = normalize_headers(weather, WEATHER_HEADERS)
+    return named.toDF(*[c.lower() for c in named.columns])
+
+
+def audited_weather(
+    weather: DataFrame, audit: StageAudit, spec: BaseSpec = BaseSpec(), date_format: str = DAY_FIRST_SLASH
+) -> DataFrame:
+    """:func:`prepare_weather` as the stage ``weather``, with the text that did not parse counted per column."""
+    parsed_columns = [spec.obs_date, *spec.measures]
+    lower = _weather_columns(weather)
+    raw = {c: f"_raw_{c}" for c in parsed_columns}
+    kept = lower.withColumns({name: F.col(c) for c, name in raw.items()})
+    dated = parse_dates(kept, {spec.obs_date: date_format})
+    parsed = parse_measures(dated, list(spec.measures)).select(
+        spec.obs_station, *parsed_columns, *raw.values()
+    )
+    counts = {c: is_reject(F.col(name), F.col(c)) for c, name in raw.items()}
+    return audit.watch("weather", parsed, counts).select(spec.obs_station, *parsed_columns)
+
+
 def prepare_cases(
     cases: DataFrame, source: str, date_format: str, spec: BaseSpec = BaseSpec(), **tags
 ) -> DataFrame:

@@ -61,6 +61,15 @@ def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in types.items()])
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "error") -> None:
+def write_delimited(
+    df: DataFrame, path: str, sep: str = ",", mode: str = "error", encoding: str = "UTF-8"
+) -> None:
     """Write a folder of delimited parts, each with a header."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("sep", sep)
+        .option("escape", '"')
+        .option("encoding", encoding)
+        .csv(path)
+    )

@@ -16,6 +16,7 @@ WEATHER_REQUEST = (
     "codigo_estacao string, nome_estacao string, data string, precipitacao string, "
     "temp_maxima string, temp_minima string, temp_comp_media string"
 )
+WEATHER_COLUMNS = tuple(c.split()[0] for c in WEATHER_REQUEST.split(", "))
 FORM = (
     "bairro_estacao string, populacao int, data date, precipitacao double, "
     "temp_maxima double, temp_minima double, temp_comp_media double"
