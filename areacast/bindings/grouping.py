@@ -287,9 +287,9 @@ def catalog_overwrite(spark, sf_dir):
     name = f"areacast_base_{uuid.uuid4().hex}"
     where = tables.CatalogTable(name, scratch_path(spark, "catalog"))
     for history in (base, base.limit(0)):
-        tables.create_table(stored_rows(history, SPEC), name, ["kind", "week"], path=where.path)
+        tables.create_table(stored_rows(history, SPEC), name, ["kind"], path=where.path)
     for predictions in (predicted.withColumn("cases", F.lit(0.0)), predicted):
-        where.replace_partitions(stored_rows(predictions, SPEC), ["kind", "week"])
+        where.replace_partitions(stored_rows(predictions, SPEC), ["kind"])
     stored = where.read(spark, base_schema(SPEC)).select(*SPEC.base_columns)
     return rounded(stored, *SPEC.means)
 

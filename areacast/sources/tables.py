@@ -23,14 +23,13 @@ def create_table(
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
     path: str | None = None,
-    mode: str = "ignore",
 ) -> None:
     """Create the table from the rows; leave an existing one alone.
 
     Later inserts replace only the partitions that they bring, see :func:`overwrite_table_partitions`. With ``bucket_by`` the rows are
     stored in so many buckets, sorted by these columns: tables of the same buckets are joined on them without a shuffle.
     """
-    writer = df.write.mode(mode).partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("ignore").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if path is not None:
@@ -41,8 +40,15 @@ def create_table(
 def overwrite_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:
-    """Replace the table by the rows. The rows must not come from the table itself."""
-    create_table(df, name, partition_by, path=path, mode="overwrite")
+    """Replace the table by the rows, which are computed before the old ones go and may come from them."""
+    spark = df.sparkSession
+    rows = written(df, "table")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if path is not None:
+        # The files of a table that was placed by its path stay when it is dropped.
+        system, folder = hadoop_folder(spark, path)
+        system.delete(folder, True)
+    create_table(rows, name, partition_by, path=path)
 
 
 def overwrite_table_partitions(df: DataFrame, name: str) -> None:

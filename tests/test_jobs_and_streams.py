@@ -293,3 +293,111 @@ def test_closed_weeks_of_a_stream_equal_the_batch(spark, tmp_path):
     assert {r.week_start for r in batch.collect()} == {
         date(2024, 1, d) for d in (1, 8, 15, 22)
     }
+
+
+@pytest.fixture(scope="module")
+def trained(spark, folder):
+    """A model that carries the means of the base, and a base in the catalog."""
+    root, _ = folder
+    where = tables.CatalogTable("areacast_jobs", str(root / "catalog"))
+    base = base_of(spark, root).filter("ds_tipo_base = 'original'")
+    score.store(base, where, SPEC)
+    model = str(root / "with_means")
+    jobs.train(
+        spark, where, model, means_path=str(root / "means"), folds=2, grid={"maxDepth": [2], "maxIter": [2]}
+    )
+    yield root, where, model
+    spark.sql("DROP TABLE areacast_jobs")
+
+
+def predictions(spark, where):
+    return {
+        (r[SPEC.area], r[SPEC.week]): r
+        for r in where.read(spark, "").filter("ds_tipo_base = 'previsto'").collect()
+    }
+
+
+def test_scoring_takes_the_means_of_the_model(spark, trained):
+    root, where, model = trained
+    request = request_files(root, "third", "35,0")
+    jobs.score(spark, str(request / "areas.csv"), str(request / "weather.csv"), model, where)
+    means = spark.read.parquet(str(root / "means")).first()
+    found = predictions(spark, where)
+    assert found[("COHAB", "201709")].temp_maxima == pytest.approx((35 + means.temp_maxima) / 2)
+    jobs.score(spark, str(request / "areas.csv"), str(request / "weather.csv"), model, where, "request")
+    assert predictions(spark, where)[("COHAB", "201709")].temp_maxima == pytest.approx(35)
+
+
+def test_forms_job(spark, trained):
+    root, where, model = trained
+    path = root / "forms.csv"
+    path.write_text(
+        "bairro_estacao;populacao;data;precipitacao;temp_maxima;temp_minima;temp_comp_media\n"
+        "AFLITOS - RECIFE;1000;2018-03-01;1.0;33.0;18.0;28.0\nX - RECIFE;1000;2018-03-01;1.0;33.0;48.0;28.0\n"
+    )
+    jobs.forms(spark, str(path), model, where, str(root / "rejected_forms"))
+    assert ("AFLITOS", "201809") in predictions(spark, where)
+    assert not any(area == "X" for area, _ in predictions(spark, where))
+    rejected = delimited.read_by_header(spark, str(root / "rejected_forms")).collect()
+    assert [r.reject_reasons for r in rejected] == ["temp_minima>temp_maxima"]
+
+
+def test_features_job(spark, trained):
+    root, _, model = trained
+    rows_ = root / "features.csv"
+    names = [*reversed(SPEC.features), "id"]
+    rows_.write_text("\n".join([",".join(names), ",".join([*["1.5"] * len(SPEC.features), "k"]), ""]))
+    jobs.features(spark, str(rows_), model, str(root / "scored_features"), ["id"])
+    (found,) = delimited.read_by_header(spark, str(root / "scored_features"), ",").collect()
+    assert found.id == "k" and float(found.prediction) >= 0
+
+
+def test_arrivals_job(spark, trained):
+    root, where, model = trained
+    drop, work = root / "dropped", str(root / "work")
+    drop.mkdir()
+    request = request_files(root, "fourth")
+    header = ";".join(requests.WEATHER_COLUMNS)
+    parts = [["0;RECIFE;03/06/2019;1,0;33,0;21,0;27,0", "0;RECIFE;xx;1,0;33,0;21,0;27,0"],
+             ["0;RECIFE;05/06/2019;1,0;;23,0;27,0"]]
+    for i, part in enumerate(parts):
+        (drop / f"{i}.csv").write_text("\n".join([header, *part, ""]))
+        jobs.arrive(spark, str(drop), str(request / "areas.csv"), model, where, work)
+    means = spark.read.parquet(str(root / "means")).first()
+    found = predictions(spark, where)[("COHAB", "201923")]
+    assert found.temp_maxima == pytest.approx((33 + means.temp_maxima) / 2) and found.temp_minima == 22
+    rejected = spark.read.parquet(f"{work}/rejected")
+    assert [(r.reject_reasons, r.raw_data) for r in rejected.collect()] == [("data", "xx")]
+    with pytest.raises(ValueError, match="means"):
+        jobs.arrive(spark, str(drop), str(request / "areas.csv"), model, where, work, "request")
+
+
+def test_check_files_job(spark, folder, tmp_path):
+    path = tmp_path / "w.csv"
+    header = ";".join(requests.WEATHER_COLUMNS)
+    path.write_text("\n".join([header, "0;RECIFE;03/06/2019;1,0;33,0;21,0;27,0", "0;;03/06/2019;1,0;33,0;99,0;27,0", "bad", ""]))
+    expected = {"nome_estacao": 1, "temp_minima": 1, "temp_minima>temp_maxima": 1, "line": 1}
+    assert jobs.check_files(spark, str(path), str(tmp_path / "out")) == expected
+    assert jobs.check_files(spark, str(tmp_path / "*.csv"), str(tmp_path / "new"), str(tmp_path / "progress")) == expected
+
+
+def test_audit_of_the_build_job(spark, folder, tmp_path):
+    root, _ = folder
+    jobs.build_base(
+        spark, {"dengue": str(root / "dengue.csv"), "other": str(root / "zika.csv")},
+        str(root / "areas.csv"), str(root / "weather.csv"), str(tmp_path / "base"), str(tmp_path / "means"),
+        encodings={"dengue": "ISO-8859-1"}, date_formats={"other": "yyyy-MM-dd"}, audit_path=str(tmp_path / "audit"),
+    )
+    stages = {r.stage: (int(r.n_rows), int(r.n_columns)) for r in delimited.read_by_header(spark, str(tmp_path / "audit/stages"), ",").collect()}
+    assert {s: n for s, (n, _) in stages.items()} == {
+        "dengue": 85, "other": 2, "union": 87, "areas": 3, "weather": 56, "enriched": stages["enriched"][0], "base": 23,
+    }
+    assert stages["areas"][1] == 3 and stages["weather"][1] == 5
+    counts = {(r.stage, r.counted): int(r.n_rows) for r in delimited.read_by_header(spark, str(tmp_path / "audit/counts"), ",").collect()}
+    assert counts[("dengue", SPEC.onset)] == 1 and counts[("other", SPEC.onset)] == 0
+    assert counts[("union", "without_area")] == 1 and counts[("weather", "temp_maxima")] == 0
+    with pytest.raises(ValueError, match="other"):
+        jobs.build_base(
+            spark, {"other": str(root / "zika.csv")}, str(root / "areas.csv"), str(root / "weather.csv"),
+            str(tmp_path / "base"), str(tmp_path / "means"),
+        )

@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from areacast.operators import learn
+from areacast.operators import clean, learn
 from areacast.plans import score, train
 from areacast.plans.spec import BaseSpec
 from tests.conftest import rows
@@ -139,3 +140,59 @@ def test_the_hash_split_takes_keys_as_text(spark):
     texts = numbers.selectExpr("CAST(week AS string) AS week")
     one = {str(r.week): r.split for r in learn.hash_split(numbers, ["week"]).collect()}
     assert one == {r.week: r.split for r in learn.hash_split(texts, ["week"]).collect()}
+
+
+def test_folds_follow_the_keys(spark):
+    df = spark.createDataFrame([(f"a{i % 40}", 201600 + i // 40, i) for i in range(2000)], "area string, week int, v int")
+    first = learn.with_folds(df, ["area", "week"], 5)
+    again = learn.with_folds(df.repartition(7, "v").withColumn("week", F.col("week").cast("string")), ["area", "week"], 5)
+    assert {(r.v, r.fold) for r in first.collect()} == {(r.v, r.fold) for r in again.collect()}
+    sizes = [r["count"] for r in first.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and all(330 < s < 470 for s in sizes)
+    assert {r.fold for r in learn.with_folds(spark.createDataFrame([(None, 1)], "area string, week int"), ["area", "week"], 5).collect()} <= set(range(5))
+
+
+def test_search_is_the_same_after_repartitioning(spark):
+    data = [(f"a{i % 30}", 201601 + i // 30, float(i % 11 + i % 3), float(i % 11), float(i % 7)) for i in range(600)]
+    df = spark.createDataFrame(data, "area string, week int, y double, f double, g double")
+    reports = []
+    for rows_ in (df, df.repartition(5, "g")):
+        training = learn.training_rows(rows_, ["f", "g"], "y", ["area", "week"], folds=3)
+        model = learn.cross_validate(training, ["f", "g"], "y", grid={"maxDepth": [2, 3], "maxIter": [2], "subsamplingRate": [1.0]})
+        assert model.getFoldCol() == learn.FOLD
+        reports.append(model.avgMetrics)
+    assert reports[0] == pytest.approx(reports[1], rel=1e-6)
+
+
+def test_saved_imputer_fills_rows_as_means_do(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, None), (None, float("nan")), (4.0, 2.0)], "x double, y double")
+    means = clean.column_means(df, ["x", "y"])
+    imputer = learn.fit_imputer(means, ["x", "y"])
+    model = learn.fit(spark.createDataFrame([(1.0, 2.0)] * 4, "y double, x double"), ["x"], learn.boosting("y", maxIter=1))
+    path = str(tmp_path / "model")
+    learn.save_model(model, path, "share", imputer)
+    loaded = learn.load_imputer(path, ["x", "y"])
+    assert learn.imputer_means(loaded) == {"x": 2.5, "y": 2.0}
+    assert rows(loaded.transform(df)) == rows(clean.impute_mean(df, ["x", "y"]))
+    assert learn.load_model(path, ["x"], "share").stages[0].getInputCols() == ["x"]
+    with pytest.raises(ValueError, match="fills"):
+        learn.load_imputer(path, ["y"])
+    learn.save_model(model, path)
+    assert learn.load_imputer(path) is None
+
+
+def test_bands(spark):
+    counts = [0.0, 1.0, 2.0, 3.0, 9.0, 10.0, 500.0]
+    df = spark.createDataFrame([(c, c if c < 9 else 2.0) for c in counts], "y double, guess double")
+    found = {r.band: r for r in learn.band_metrics(df, "y", "guess", of_count=True).collect()}
+    assert [found[i].n_rows for i in range(5)] == [1, 2, 2, 1, 1]
+    assert [found[i].n_predicted for i in range(5)] == [1, 5, 1, 0, 0]
+    assert [found[i].n_hits for i in range(5)] == [1, 2, 1, 0, 0]
+    assert (found[1].precision, found[1].recall, found[2].recall) == (0.4, 1.0, 0.5)
+    assert (found[3].precision, found[3].recall, found[3].f1) == (None, 0.0, 0.0)
+    rows_ = spark.createDataFrame([(float(i % 40), float(i % 40) + 0.1) for i in range(400)], "y double, f double")
+    model = learn.fit_bands(rows_, ["f"], "y", "decision_tree")
+    metrics = learn.band_metrics(model.transform(rows_), "y", "band").collect()
+    assert sum(r.n_rows for r in metrics) == 400 and min(r.f1 for r in metrics if r.n_rows > 20) > 0.9
+    # A count that was never seen has a band nevertheless.
+    assert model.transform(spark.createDataFrame([(1e6,)], "f double")).first().band == 4
