@@ -10,11 +10,12 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from areacast.operators.moments import pair_moments, pearson
 from areacast.operators.running import running_totals
+from areacast.sources.tables import written
 
 
 def _as_rows(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -69,10 +70,12 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-# The sketch errs by at most one part in _ACCURACY of the ranks; the slice around a quantile
-# reaches _MARGIN times as far to either side.
+# A sketch of _SKETCH items per level errs by less than one part in _ACCURACY of the ranks in nearly all
+# cases; the slice around a quantile reaches _MARGIN times as far to either side.
+_SKETCH = 8_192
 _ACCURACY = 2_000
 _MARGIN = 4
+_ALL = [(float("-inf"), float("inf"))]
 
 
 def _given(name: str) -> Column:
@@ -113,7 +116,7 @@ def exact_quantiles(
     """Linearly interpolated quantiles of the given values, one row per column; null without a value.
 
     A rank sketch narrows each quantile to a thin slice of the values. A second scan counts the values
-    before, between and in the slices, so the ranks in a slice are exact, and only slices are sorted. Where a rank
+    before, between and behind the slices, so the ranks in a slice are exact, and only slices are sorted. Where a rank
     turns out to lie outside its slice, all values of that column take its place. The driver sees a
     few numbers per column only.
     """
@@ -132,39 +135,51 @@ def _sketched(df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float
     ends = [
         min(max(end, 0.0), 1.0) for q in quantiles.values() for end in (q - reach, q + reach)
     ]
-    return df.agg(
-        *[
-            stat(_given(n)).alias(f"{i}|{label}")
-            for i, n in enumerate(names) for label, stat in stats.items()
-        ],
-        *[F.percentile_approx(_given(n), ends, _ACCURACY).alias(f"{i}|ends") for i, n in enumerate(names)],
-    ).first()
+    named = {f"{i}|{label}": stat(_given(n)) for i, n in enumerate(names) for label, stat in stats.items()}
+    sketches = [F.kll_sketch_agg_double(_given(n), F.lit(_SKETCH)) for n in names]
+    one_row = df.agg(
+        *[stat.alias(name) for name, stat in named.items()],
+        *[sketch.alias(f"{i}|sketch") for i, sketch in enumerate(sketches)],
+    )
+    # An empty sketch has no quantiles.
+    return one_row.select(*[F.col(f"`{name}`") for name in named], *[
+        F.when(
+            F.col(f"`{i}|n_values`") > 0,
+            F.kll_sketch_get_quantile_double(F.col(f"`{i}|sketch`"), F.lit(ends)),
+        ).alias(f"{i}|ends")
+        for i in range(len(names))
+    ]).first()
 
 
 def _quantiles(
     df: DataFrame, names: Sequence[str], quantiles: Mapping[str, float], found: Row
 ) -> dict[tuple[str, str], float | None]:
     """The exact quantiles, by column and label."""
-    targets, slices = [], {}
-    for i, n in enumerate(names):
-        if not found[f"{i}|n_values"]:
-            continue
-        for label, q in quantiles.items():
-            position = (found[f"{i}|n_values"] - 1) * q
-            targets.append((i, label, math.floor(position) + 1, math.ceil(position) + 1,
-                            position - math.floor(position)))
-        ends = found[f"{i}|ends"]
-        slices[i] = _disjoint(list(zip(ends[::2], ends[1::2])))
+    counts = {i: found[f"{i}|n_values"] for i in range(len(names))}
+    slices = {
+        i: _disjoint(list(zip(found[f"{i}|ends"][::2], found[f"{i}|ends"][1::2]))) or _ALL
+        for i, n in counts.items() if n
+    }
     exact: dict[tuple[str, str], float | None] = {(n, q): None for n in names for q in quantiles}
-    while targets:
+    while slices:
+        ranks = _Ranks(df, names, slices, counts)
         missed = set()
-        for r in _values_at(df, names, slices, targets).collect():
-            if r["low"] is None or r["high"] is None:
-                missed.add(r["column"])
-            else:
-                exact[names[r["column"]], r["label"]] = r["low"] + (r["high"] - r["low"]) * r["part"]
-        targets = [t for t in targets if t[0] in missed]
-        slices = {i: [(float("-inf"), float("inf"))] for i in missed}
+        wanted = []
+        for i in slices:
+            for label, q in quantiles.items():
+                position = (counts[i] - 1) * q
+                ends = [ranks.place(i, math.floor(position) + 1), ranks.place(i, math.ceil(position) + 1)]
+                if None in ends:
+                    missed.add(i)
+                wanted += [(i, label, end, *at) for end, at in zip(("low", "high"), ends) if at]
+        values = ranks.values(wanted)
+        for i in set(slices) - missed:
+            for label, q in quantiles.items():
+                position = (counts[i] - 1) * q
+                low, high = values[i, label, "low"], values[i, label, "high"]
+                part = position - math.floor(position)
+                exact[names[i], label] = low + (high - low) * part if part else low
+        slices = {i: _ALL for i in missed}
     return exact
 
 
@@ -179,49 +194,81 @@ def _disjoint(slices: Sequence[tuple[float, float]]) -> list[tuple[float, float]
     return merged
 
 
-def _values_at(
-    df: DataFrame,
-    names: Sequence[str],
-    slices: Mapping[int, Sequence[tuple[float, float]]],
-    targets: Sequence[tuple[int, str, int, int, float]],
-) -> DataFrame:
-    """(column, label, part, low, high): the values at the two ranks of each target, null outside the slices.
+class _Ranks:
+    """The ranks of the values in some slices of the columns, from one scan.
 
-    Slices are the odd regions of a column, what lies before, between and behind them the even ones. A row gives each
-    column its region, and in a slice its value, so equal values of a slice and whole even regions shrink to one row before the
-    shuffle.
+    The slices are the odd regions of a column; what lies before, between and behind them are the even ones, which are only counted,
+    while the values of the slices are written with their numbers.
     """
-    pieces = []
-    for i, own in slices.items():
-        value = _given(names[i])
-        region = F.lit(2 * len(own))
-        for k, (low, high) in reversed(list(enumerate(own))):
-            region = F.when(value < low, 2 * k).when(value <= high, 2 * k + 1).otherwise(region)
-        region = F.when(value.isNotNull(), region)
-        pieces.append(F.struct(
-            F.lit(i).alias("column"), region.alias("region"),
-            F.when(region % 2 == 1, value).alias("value"),
-        ))
-    collapsed = (
-        df.select(F.inline(F.array(*pieces)))
-        .filter(F.col("region").isNotNull())
-        .groupBy("column", "region", "value")
-        .agg(F.count(F.lit(1)).alias("n_equal"))
-    )
-    ranked = running_totals(
-        collapsed, [F.col("region"), F.col("value")], {"n_equal": "last_rank"}, ["column"]
-    )
-    wanted = df.sparkSession.createDataFrame(
-        list(targets), "column int, label string, first bigint, last bigint, part double"
-    )
 
-    def value_at(rank: str) -> Column:
-        lowest = F.col("last_rank") - F.col("n_equal") + 1
-        return F.max(F.when(F.col(rank).between(lowest, F.col("last_rank")), F.col("value")))
+    def __init__(
+        self,
+        df: DataFrame,
+        names: Sequence[str],
+        slices: Mapping[int, Sequence[tuple[float, float]]],
+        counts: Mapping[int, int],
+    ):
+        self.spark = df.sparkSession
+        values = df.select(*[_given(names[i]).alias(f"v{i}") for i in slices])
+        regions, between, inside = {}, {}, F.lit(False)
+        for i, own in slices.items():
+            value = F.col(f"v{i}")
+            regions[i] = F.lit(None).cast("int")
+            ends = [float("-inf"), *[e for s in own for e in s], float("inf")]
+            for k in range(len(own) + 1):
+                after = F.lit(True) if k == 0 else value > ends[2 * k]
+                before = F.lit(True) if k == len(own) else value < ends[2 * k + 1]
+                between[f"{i}|{2 * k}"] = F.count_if(value.isNotNull() & after & before)
+            for k, (low, high) in enumerate(own):
+                regions[i] = F.when(value.between(low, high), 2 * k + 1).otherwise(regions[i])
+                inside = inside | value.between(low, high)
+        seen = Observation()
+        pieces = [
+            F.struct(F.lit(i).alias("column"), region.alias("region"), F.col(f"v{i}").alias("value"))
+            for i, region in regions.items()
+        ]
+        self.collapsed = written(
+            values.observe(seen, *[c.alias(n) for n, c in between.items()])
+            .where(inside)
+            .select(F.inline(F.filter(F.array(*pieces), lambda p: p["region"].isNotNull())))
+            .groupBy("column", "region", "value").agg(F.count(F.lit(1)).alias("n_equal")),
+            "slices",
+        )
+        within = self.collapsed.groupBy("column", "region").agg(F.sum("n_equal").alias("n")).collect()
+        sliced = {(r["column"], r["region"]): r["n"] for r in within}
+        outside = seen.get
+        for i in slices:
+            own = [n for key, n in outside.items() if key.startswith(f"{i}|")]
+            if sum(own) + sum(n for (column, _), n in sliced.items() if column == i) != counts[i]:
+                # A repeated task has counted twice: count again in an aggregate, which cannot.
+                outside = values.agg(*[c.alias(n) for n, c in between.items()]).first().asDict()
+                break
+        self.totals = {
+            i: [sliced.get((i, k), 0) if k % 2 else outside[f"{i}|{k}"] for k in range(2 * len(own) + 1)]
+            for i, own in slices.items()
+        }
 
-    return ranked.join(wanted, "column").groupBy("column", "label", "part").agg(
-        value_at("first").alias("low"), value_at("last").alias("high")
-    )
+    def place(self, column: int, rank: int) -> tuple[int, int] | None:
+        """Region of a rank and the rank in it; None where that region's values are not known."""
+        for region, total in enumerate(self.totals[column]):
+            if rank <= total:
+                return (region, rank) if region % 2 else None
+            rank -= total
+        return None
+
+    def values(self, wanted: Sequence[tuple]) -> dict[tuple[int, str, str], float]:
+        """The values at (column, label, end, region, rank)."""
+        if not wanted:
+            return {}
+        asked = self.spark.createDataFrame(
+            list(wanted), "column int, label string, end string, region int, rank bigint"
+        )
+        ranked = running_totals(
+            self.collapsed, [F.col("value")], {"n_equal": "last_rank"}, ["column", "region"]
+        ).join(asked, ["column", "region"])
+        lowest = F.col("last_rank") - F.col("n_equal") + 1
+        found = ranked.where(F.col("rank").between(lowest, F.col("last_rank"))).collect()
+        return {(r["column"], r["label"], r["end"]): r["value"] for r in found}
 
 
 def describe_categorical(df: DataFrame, names: Sequence[str]) -> DataFrame:
