@@ -1,16 +1,20 @@
-"""Mixing sources to target weights by order sampling.
+"""Mixing sources to target weights by Pareto order sampling.
 
 A source that has to give more words than it holds first gives certain whole copies of each document. What
 is left (the rest) is a sample: each row gets a random number u from its source, id and text, and a number of its
-own among equal rows. With p the rest's share of the source, documents of more than a hundredth of the rest are
-drawn first, those with u < p, from large to small; the short ones follow in the order of u, then the long ones that
-were not drawn. They are taken while the words are not exceeded; where more than a hundredth is missing, further
-rounds go on behind the document that did not fit, and one more document fills what is missing. So a long
-document has its own odds p, and the short ones make up for it.
+own among equal rows. With an inclusion probability p it is ranked by q = (u / (1 - u)) / (p / (1 - p)), the random odds over the
+inclusion odds, and the lowest ranks are taken.
+
+The probabilities are size-aware, as the sample is fixed in words. Documents of more than a hundredth of the rest are long. Of them a fixed number is
+taken, p times as many as there are, with p the rest's share of the source (the fraction decides by chance whether it is one more), in
+the order of q, while they do not exceed the rest. The others have the probability that fills up what the long ones left, so
+it is lower where a long one was taken and higher where not, and p in the mean. They are taken in the order of q while the words are not
+exceeded; where more than a hundredth is missing, further rounds go on behind the document that did not fit, then to the long ones that
+were not taken, and one more document fills what is missing.
 
 As the choice is a few intervals of that order, it is a filter on the documents: the texts are never sorted or
 shuffled (but for rows equal to another), only (source, order, size) is, over range partitions that a large
-source spreads over.
+source spreads over. The plan of the sources is a written table, small enough to be sent to the documents.
 """
 
 from __future__ import annotations
@@ -27,8 +31,6 @@ from areacast.sources.tables import written
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents of more than this part of the rest are long; a rest is full with so small a part missing.
 LONG = CLOSE = 0.01
-# Each round about halves what is missing.
-ROUNDS = 16
 
 
 def word_count(text: Column) -> Column:
@@ -75,12 +77,49 @@ def _number(key: Column) -> Column:
     return (value + 0.5) / float(1 << 48)
 
 
-def _order(size: Column, u: Column, p: Column, rest: Column) -> list[Column]:
-    """``stage``, ``level`` and ``u``: long documents that are drawn, from large to small; short ones; other long ones."""
-    long = size > LONG * rest
-    stage = F.when(~long, 1).when(u < p, 0).otherwise(2)
-    level = F.when(long & (u < p), -F.floor(F.log2(size))).otherwise(0).cast("int")
-    return [stage.alias("stage"), level.alias("level"), u.alias("u")]
+def pareto_rank(u: Column, p: Column) -> Column:
+    """Random odds over inclusion odds; a probability of 0 or 1 is taken a little inside."""
+    inside = F.greatest(F.least(p, F.lit(1 - 1e-12)), F.lit(1e-12))
+    return (u / (1 - u)) / (inside / (1 - inside))
+
+
+def _order(size: Column, u: Column, plan: dict[str, Column]) -> list[Column]:
+    """``stage`` and ``q``: long documents that are taken; short ones; the other long ones."""
+    long = size > LONG * plan["rest"]
+    q = pareto_rank(u, F.when(long, plan["p"]).otherwise(plan["p_short"]))
+    taken = (q <= plan["q_long"]) & (size <= plan["rest"])
+    stage = F.when(~long, 1).when(taken, 0).otherwise(2)
+    return [stage.alias("stage"), q.alias("q")]
+
+
+def _with_long(narrow: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """The plan with ``q_long``, the rank up to which long documents are taken, ``left`` and ``p_short``."""
+    own = plan.select("source", "rest", "p")
+    rows = narrow.join(own.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    long = F.col("size") > LONG * F.col("rest")
+    stats = rows.groupBy("source").agg(
+        F.sum(F.when(long & (F.col("size") <= F.col("rest")), 1).otherwise(0)).alias("n_long"),
+        F.sum(F.when(~long, F.col("size")).otherwise(0)).alias("short_size"),
+    )
+    # As many as the probabilities add up to; a source's own random number rounds the sum.
+    name = F.concat_ws(":", F.lit("long"), F.coalesce(F.col("source").cast("string"), F.lit("")),
+                       F.col("source").isNull().cast("string"), F.lit(str(seed)))
+    fixed = plan.join(stats.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    fixed = written(fixed.withColumn("n_taken", F.floor(F.col("n_long") * F.col("p") + _number(name))), "mix_long")
+    ranked = rows.where(long & (F.col("size") <= F.col("rest"))).select(
+        "source", "size", pareto_rank(F.col("u"), F.col("p")).alias("q"), F.lit(1).alias("one")
+    )
+    ranked = running_totals(ranked, [F.col("q")], {"one": "place", "size": "upto"}, ["source"])
+    limits = fixed.select(F.col("source").alias("of"), "n_taken", "rest")
+    first = ranked.join(limits, F.col("source").eqNullSafe(F.col("of"))).where(
+        (F.col("place") <= F.col("n_taken")) & (F.col("upto") <= F.col("rest"))
+    ).groupBy(F.col("source").alias("of")).agg(F.max("q").alias("q_long"), F.max("upto").alias("got"))
+    found = fixed.join(first, F.col("source").eqNullSafe(F.col("of")), "left")
+    left = F.col("rest") - F.coalesce("got", F.lit(0))
+    return written(found.select(
+        *plan.columns, F.coalesce("q_long", F.lit(0.0)).alias("q_long"), left.alias("left"),
+        F.coalesce(left / F.nullif(F.col("short_size"), F.lit(0)), F.lit(0.0)).alias("p_short"),
+    ), "mix_plan")
 
 
 def _in_rounds(rounds: Column, size: Column, order: Column) -> Column:
@@ -125,7 +164,7 @@ def mix(
     Columns of these names are replaced.
     A size is the number of words; null, empty and blank texts have none, so they count for nothing and are
     taken like others. A null source is a source. Each row is drawn by itself, also where ids are null or
-    repeated. Besides the whole copies, a source's documents have about the same inclusion probability; one
+    repeated. Besides the whole copies, a source's documents have about the same inclusion probability over the seeds; one
     that has more words than the source has to give besides the whole copies is left out of that part, unless it
     alone comes nearer to the target than nothing. Without any words every target is 0 and nothing is taken.
     """
@@ -148,24 +187,24 @@ def mix(
     plan = plan.withColumn("whole", F.floor(times)).withColumn("p", times - F.floor(times))
     # A part of a few words in 10^9 is a rounding difference of the target.
     plan = plan.withColumn("p", F.when(F.col("p") > 1e-9, F.col("p")).otherwise(0.0))
-    plan = written(plan.withColumn("rest", F.col("p") * F.col("source_size")), "mix_plan")
+    plan = written(plan.withColumn("rest", F.col("p") * F.col("source_size")), "mix_targets")
+    plan = _with_long(narrow, plan, seed)
 
-    rests = plan.select(F.col("source").alias("of"), "rest", "p").where("p > 0")
+    parts = ("rest", "p", "p_short", "q_long")
+    rests = plan.select(F.col("source").alias("of"), *parts, "left").where("p > 0")
     placed = narrow.join(rests, F.col("source").eqNullSafe(F.col("of"))).select(
-        "source", "size", *_order(F.col("size"), F.col("u"), F.col("p"), F.col("rest"))
-    )
-    order = F.struct("stage", "level", "u")
-    after = F.lit(None).cast("struct<stage:int,level:int,u:double>")
-    state = rests.select("of", "rest", F.col("rest").alias("missing"), after.alias("after"))
+        "source", "size", *_order(F.col("size"), F.col("u"), {c: F.col(c) for c in parts})
+    ).where("stage > 0")
+    order = F.struct("stage", "q")
+    after = F.lit(None).cast("struct<stage:int,q:double>")
+    state = rests.select("of", "rest", F.col("left").alias("missing"), after.alias("after"))
     rounds = None
-    for _ in range(ROUNDS):
+    while True:
         # In order, while the words are not exceeded; the next round goes on behind what did not fit.
         fits = placed.join(state, F.col("source").eqNullSafe(F.col("of"))).where(
             (F.col("size") <= F.col("missing")) & (F.col("after").isNull() | (order > F.col("after")))
-        ).select("source", "size", "stage", "level", "u", "missing")
-        totals = running_totals(
-            fits, [F.col("stage"), F.col("level"), F.col("u")], {"size": "upto"}, ["source"]
-        )
+        ).select("source", "size", "stage", "q", "missing")
+        totals = running_totals(fits, [F.col("stage"), F.col("q")], {"size": "upto"}, ["source"])
         got = totals.where("upto <= missing").groupBy(F.col("source").alias("got_of")).agg(
             F.max(order).alias("last"), F.max("upto").alias("got")
         )
@@ -188,19 +227,20 @@ def mix(
     ).where(~_in_rounds(F.col("rounds"), F.col("size"), order)).groupBy(F.col("source").alias("of")).agg(
         F.min(F.struct(F.abs(F.col("size") - F.col("left")), order.alias("order")))["order"].alias("filler")
     )
-    plan = plan.join(done, F.col("source").eqNullSafe(F.col("done_of")), "left").join(
+    plan = written(plan.join(done, F.col("source").eqNullSafe(F.col("done_of")), "left").join(
         nearest, F.col("source").eqNullSafe(F.col("of")), "left"
     ).select(
         F.col("source").alias("_mix_of"), F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"), F.col("whole").alias("_mix_whole"),
-        F.col("p").alias("_mix_p"), F.col("rest").alias("_mix_rest"),
+        *[F.col(c).alias(f"_mix_{c}") for c in parts],
         F.col("rounds").alias("_mix_rounds"), F.col("filler").alias("_mix_filler"),
-    )
+    ), "mix_choice")
 
-    own_order = F.struct(*_order(F.col("_size"), F.col("_mix_u"), F.col("_mix_p"), F.col("_mix_rest")))
-    one_more = _in_rounds(F.col("_mix_rounds"), F.col("_size"), own_order) | (
+    own_order = F.struct(*_order(F.col("_size"), F.col("_mix_u"), {c: F.col(f"_mix_{c}") for c in parts}))
+    chosen = (own_order["stage"] == 0) | _in_rounds(F.col("_mix_rounds"), F.col("_size"), own_order) | (
         own_order == F.col("_mix_filler")
     )
+    one_more = (F.col("_mix_p") > 0) & F.coalesce(chosen, F.lit(False))
     marked = own.join(plan, F.col("_mix_source").eqNullSafe(F.col("_mix_of")), "left")
     return marked.select(
         *columns, "_size", "_source_size", "_target",
