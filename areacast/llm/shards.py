@@ -46,17 +46,24 @@ def shuffled(
 
     Columns of these names are replaced.
     Reruns agree whatever the order and partitioning of the records. Records with equal ids are of one shard and
-    are spread over its buckets by their text; wholly equal ones are interchangeable. Null ids are a key like
+    are spread over its buckets by their text and ordered by all columns; wholly equal ones are interchangeable. Null ids are a key like
     others, null and empty texts are records like others, and no records give none.
     """
     columns = [c for c in docs.columns if c.lower() not in ("_shard", "_slot")]
-    total = docs.agg(F.sum(record_size(text)).alias("n")).first()["n"] or 0
-    buckets = max(1, -(-total // (shards * bucket_bytes)))
+    own = shard_of(id_column, shards, seed)
+    # As many buckets as a shard's bytes ask for: a hot id makes its shard larger, not its buckets.
+    measured = docs.groupBy(own.alias("shard")).agg(F.sum(record_size(text)).alias("n")).collect()
+    numbers = {row["shard"]: -(-row["n"] // bucket_bytes) for row in measured}
+    buckets = F.get(F.array(*[F.lit(numbers.get(s, 1)) for s in range(shards)]), F.col("_shard"))
     spread = F.xxhash64(F.lit(seed + 1), F.col(id_column), F.col(text))
+    # Rows of equal id and text are told apart by their other columns.
+    values = [
+        F.to_json(f"`{c}`") if "map<" in docs.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns
+    ]
+    everything = F.xxhash64(F.lit(seed + 2), *values, *[v.isNull() for v in values])
     placed = docs.select(
-        *columns, shard_of(id_column, shards, seed).alias("_shard"),
-        F.pmod(spread, F.lit(buckets)).cast("int").alias("_shard_bucket"), spread.alias("_shard_order"),
-    )
+        *columns, own.alias("_shard"), spread.alias("_shard_order"), everything.alias("_shard_all"),
+    ).withColumn("_shard_bucket", F.pmod(F.col("_shard_order"), buckets).cast("int"))
     # Where each bucket starts in its shard.
     sizes = placed.groupBy("_shard", "_shard_bucket").agg(F.count("*").alias("_shard_n"))
     before = Window.partitionBy("_shard").orderBy("_shard_bucket").rowsBetween(
@@ -69,7 +76,8 @@ def shuffled(
     schema = schema.add("_shard", IntegerType()).add("_slot", LongType())
 
     def shuffle(bucket: pa.Table) -> pa.Table:
-        order = np.lexsort((bucket.column(id_column).is_null().to_numpy(),
+        order = np.lexsort((bucket.column("_shard_all").to_numpy(),
+                            bucket.column(id_column).is_null().to_numpy(),
                             bucket.column("_shard_order").to_numpy()))
         shard, number = bucket.column("_shard")[0].as_py(), bucket.column("_shard_bucket")[0].as_py()
         draw = np.random.Generator(np.random.PCG64([seed, shard, number]))
@@ -81,7 +89,7 @@ def shuffled(
 
     return (
         placed.join(starts, ["_shard", "_shard_bucket"])
-        .select(*columns, "_shard", "_shard_bucket", "_shard_order", "_slot")
+        .select(*columns, "_shard", "_shard_bucket", "_shard_order", "_shard_all", "_slot")
         .groupBy("_shard", "_shard_bucket")
         .applyInArrow(shuffle, schema)
     )
