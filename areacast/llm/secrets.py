@@ -142,11 +142,13 @@ def find(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, text: str = "text
     spans are the leftmost non-overlapping matches of each rule, without those whose group is too short,
     as (start, rank of the rule, end, kind), in code points, end exclusive, in this order.
     """
-    order = [rule.kind for rule in rules]
-    patterns = docs.sparkSession.createDataFrame(
-        [(r.kind, order.index(r.kind), r.pattern, r.group, r.least) for r in rules],
-        "kind string, rank int, pattern string, part int, least int",
-    )
+    def of_rule(values: Sequence) -> Column:
+        """The rule's value as an expression of its kind: no text is dealt by the few kinds."""
+        found = F.lit(None)
+        for rule, value in zip(rules, values, strict=True):
+            found = F.when(F.col("kind") == rule.kind, F.lit(value)).otherwise(found)
+        return found
+
     texts = docs.select(F.col(text).cast("string").alias("text")).where("text <> ''")
     texts = texts.select(*_key(F.col("text")), "text")
     indexed = [r for r in rules if trigram_query(r.pattern)]
@@ -156,7 +158,12 @@ def find(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, text: str = "text
             full = texts.where(F.col("text").rlike(rule.pattern)).withColumn("kind", F.lit(rule.kind))
             to_verify = full if to_verify is None else to_verify.unionByName(full)
     # Copies of a text are verified once.
-    to_verify = to_verify.dropDuplicates(["d1", "d2", "kind"]).join(patterns, "kind")
+    to_verify = to_verify.dropDuplicates(["d1", "d2", "kind"]).withColumns({
+        "rank": of_rule(range(len(rules))).cast("int"),
+        "pattern": of_rule([r.pattern for r in rules]),
+        "part": of_rule([r.group for r in rules]),
+        "least": of_rule([r.least for r in rules]),
+    })
     # A text is its gaps and matches in turn; a match starts where all before it ends.
     pieces = to_verify.select(
         "d1", "d2", "kind", "rank", "least",
