@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -152,9 +152,12 @@ def _tile_pair(rows: pa.Table, dims: int, axes: np.ndarray, threshold: float) ->
 
 def _compared(nodes: DataFrame, dims: int, threshold: float) -> DataFrame:
     """The results of all pairs of tiles of vectors of that length."""
-    fitted = PCA(k=dims, inputCol="v", outputCol="w").fit(
-        nodes.select(array_to_vector("vector").alias("v"))
+    # Of unit vectors, as they are compared; scaled before, so that no square overflows.
+    scaled = F.transform("vector", lambda x: x / F.array_max(F.transform("vector", F.abs)))
+    units = Normalizer(inputCol="scaled", outputCol="v").transform(
+        nodes.select(array_to_vector(scaled).alias("scaled"))
     )
+    fitted = PCA(k=dims, inputCol="v", outputCol="w").fit(units)
     axes = fitted.pc.toArray()
     width = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
 
