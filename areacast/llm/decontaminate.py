@@ -17,12 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import Broadcast, TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacast.llm import words
 from areacast.session import scratch_path
+from areacast.sources.tables import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -143,18 +144,21 @@ class _Lists:
     def count(self, at: np.ndarray) -> np.ndarray:
         return self.ends[at] - np.where(at > 0, self.ends[at - 1], 0)
 
-    def starts(self, at: np.ndarray, slop: int) -> np.ndarray:
-        """Where the phrase of these terms starts; with slop, each term up to so many words off."""
+    def of(self, term: int) -> np.ndarray:
+        """The places of a term, ascending."""
+        return self.places[self.ends[term - 1] if term else 0 : self.ends[term]]
+
+    def starts(self, at: np.ndarray) -> np.ndarray:
+        """Where the phrase of these terms starts."""
         left = None
         for i in np.argsort(self.count(at), kind="stable"):
-            low = self.ends[at[i] - 1] if at[i] else 0
-            shifted = self.places[low : self.ends[at[i]]] - np.int32(i)
+            shifted = self.of(at[i]) - np.int32(i)
             if left is None:
                 left = shifted
             else:
-                near = np.searchsorted(shifted, left - slop)
+                near = np.searchsorted(shifted, left)
                 fits = near < len(shifted)
-                fits[fits] = shifted[near[fits]] <= left[fits] + slop
+                fits[fits] = shifted[near[fits]] == left[fits]
                 left = left[fits]
             if not len(left):
                 break
@@ -163,9 +167,32 @@ class _Lists:
         inside = left + len(at) <= self.stops[np.minimum(own, len(self.stops) - 1)]
         return left[inside]
 
+    def near(self, at: np.ndarray, slop: int) -> np.ndarray:
+        """The documents in which all terms of the phrase are within ``slop`` words of their place, for some start.
+
+        The start need not be a place of the document, the terms have to be. Candidates come from the places of the rarest
+        term, each of which allows 2 * slop + 1 starts, so the result does not depend on which term that is.
+        """
+        order = np.argsort(self.count(at), kind="stable")
+        anchors = self.of(at[order[0]]).astype(np.int64)
+        own = np.repeat(np.searchsorted(self.stops, anchors, side="right"), 2 * slop + 1)
+        start = (anchors[:, None] - order[0] + np.arange(-slop, slop + 1)).ravel()
+        for i in order[1:]:
+            begin = np.where(own > 0, self.stops[own - 1], 0)
+            low = np.maximum(start + i - slop, begin)
+            high = np.minimum(start + i + slop, self.stops[own] - 1)
+            places = self.of(at[i])
+            k = np.searchsorted(places, low)
+            fits = k < len(places)
+            fits[fits] = places[k[fits]] <= high[fits]
+            own, start = own[fits], start[fits]
+            if not len(own):
+                break
+        return np.unique(own)
+
 
-def _search(index: DataFrame, block: list, slop: int) -> DataFrame:
-    """The documents of the index with their hits of the block's phrases (terms, item)."""
+def _search(index: DataFrame, block: list, slop: int) -> tuple[DataFrame, Broadcast]:
+    """The documents of the index with their hits of the block's phrases (terms, item); and the block as it is sent."""
     by_phrase: dict[bytes, list] = {}
     for terms, item in block:
         by_phrase.setdefault(np.array(terms, np.int64).tobytes(), []).append(item)
@@ -192,13 +219,13 @@ def _search(index: DataFrame, block: list, slop: int) -> DataFrame:
                     at = lists.find(grid)
                     for i in np.flatnonzero((at >= 0).all(axis=1)):
                         width = grid.shape[1]
-                        starts = lists.starts(at[i], 0)
+                        starts = lists.starts(at[i])
                         np.add.at(cover, starts, 1)
                         np.add.at(cover, starts + width, -1)
-                        for d in np.unique(np.searchsorted(lists.stops, starts, side="right")):
+                        of_starts = np.unique(np.searchsorted(lists.stops, starts, side="right"))
+                        for d in of_starts:
                             exact.setdefault(int(d), set()).update(items[i])
-                        about = lists.starts(at[i], slop) if slop else starts
-                        for d in np.unique(np.searchsorted(lists.stops, about, side="right")):
+                        for d in lists.near(at[i], slop) if slop else of_starts:
                             near.setdefault(int(d), set()).update(items[i])
                 hit = np.concatenate([[0], (np.cumsum(cover[:-1]) > 0).astype(np.int8), [0]])
                 edge = np.diff(hit)
@@ -232,7 +259,7 @@ def _search(index: DataFrame, block: list, slop: int) -> DataFrame:
                         pa.array([sorted(near.get(d, ())) for d in part], pa.list_(pa.int64())),
                     ], ["segment", "ordinal", "id", "text_hash", "n_words", "spans", "items", "near_items"])
 
-    return index.mapInArrow(run, _FOUND)
+    return index.mapInArrow(run, _FOUND), shared
 
 
 def _merged(spans) -> F.Column:
@@ -257,19 +284,24 @@ def search(index: DataFrame, wanted: DataFrame, slop: int = 2) -> DataFrame:
 
     ``wanted`` has the phrases (terms, item). spans: the runs of words inside exact matches, as word
     numbers, end exclusive; items: whose phrases match exactly; near_items: also those with all
-    terms of a phrase within ``slop`` words of their place. Items without an id give spans only.
+    terms of a phrase within ``slop`` words of their place, in one document. Items without an id give spans only.
     """
     blocks = -(-max(1, wanted.count()) // PHRASES)
     wanted = wanted.withColumn("block", F.pmod(F.xxhash64("terms", "item"), F.lit(blocks)))
-    results = [
-        _search(index, wanted.where(F.col("block") == b).select("terms", "item").collect(), slop)
-        for b in range(blocks)
-    ]
+
+    def block(number: int) -> tuple[DataFrame, Broadcast]:
+        own = wanted.where(F.col("block") == number).select("terms", "item").collect()
+        return _search(index, own, slop)
+
     if blocks == 1:
-        return results[0].drop("segment", "ordinal")
-    found = results[0]
-    for other in results[1:]:
-        found = found.unionByName(other)
+        return block(0)[0].drop("segment", "ordinal")
+    found = None
+    for number in range(blocks):
+        # One block at a time is on the driver and in the tasks.
+        results, sent = block(number)
+        results = written(results, "hits")
+        sent.destroy()
+        found = results if found is None else found.unionByName(results)
 
     def gathered(column):
         return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))).alias(column)

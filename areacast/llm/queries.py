@@ -51,6 +51,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near"),
     )
 
 
@@ -82,10 +83,23 @@ WITH d AS (
 ), items AS (
     SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
     FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+), tokens AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d
+), terms AS (
+    SELECT item_id, phrase, width, unnest(string_split(phrase, ' ')) AS word, unnest(range(width)) AS place FROM phrases
+), shifted AS (
+    SELECT doc_id, item_id, phrase, width, place, at - place + unnest(range(-2, 3)) AS start
+    FROM tokens JOIN terms USING (word)
+), near AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n FROM (
+        SELECT doc_id, item_id, phrase, start FROM shifted
+        GROUP BY doc_id, item_id, phrase, width, start HAVING count(DISTINCT place) = width
+    ) GROUP BY doc_id
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
-    sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated,
+    coalesce(near.n, 0) AS n_near
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """ % ((_LOWER,) * 2)
 
 
@@ -164,7 +178,8 @@ FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON id = d.doc_id
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    # A row without an id is not held out: no label can name it.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     labels = _table(spark, sf_dir, "labels").where(~held_out)
     scored = toxicity.score(docs, toxicity.train(docs, labels, "doc_id", "toxic"))
     return scored.select(

@@ -1,6 +1,8 @@
 """Each query on a small corpus with nulls, ties, copies and long texts, against brute force."""
 
+import itertools
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +19,7 @@ def counted(rows):
 
 
 def test_decontamination(spark, folder, data):
-    found = queries.op1_decontamination(spark, folder).collect()
+    found = queries.op1_decontamination(spark, folder).drop("n_near").collect()
     expected = [
         (d["doc_id"], n, hit, len(items), brute.digest(items), hit > 0)
         for d, (n, hit, items) in zip(data["documents"], brute.hits(data["documents"], data["benchmark"]))
@@ -38,6 +40,37 @@ def test_proximity(spark):
     assert [tuple(map(tuple, r["spans"])) for r in found if r["id"] == 1] == [((0, 4),)]
 
 
+@pytest.mark.parametrize("segment", [1, 60, 10**6])
+@pytest.mark.parametrize("slop", [1, 2])
+def test_proximity_does_not_depend_on_segments(spark, monkeypatch, segment, slop):
+    draw = random.Random(slop)
+    texts = ["a c b d", "b a c d", "a a a b b c c d d d d", "d c b a", "b c d", "", "x", None]
+    texts += [" ".join(draw.choice("abcdex") for _ in range(draw.randint(3, 9))) for _ in range(120)]
+    phrase = ["a", "b", "c", "d"]
+
+    def near(text):
+        words = (text or "").split()
+        return any(
+            all(any(abs(at - start - i) <= slop and w == t for at, w in enumerate(words)) for i, t in enumerate(phrase))
+            for start in range(-slop, len(words) + slop)
+        )
+
+    monkeypatch.setattr(decontaminate, "SEGMENT", segment)
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    items = spark.createDataFrame([(7, "a b c d")], "item int, text string")
+    found = {r["id"]: r["near_items"] for r in decontaminate.contamination(docs, "id", items, "item", window=4, slop=slop).collect()}
+    assert found == {i: [7] if near(t) else [] for i, t in enumerate(texts)}
+    assert 2 < sum(map(bool, found.values())) < 110
+
+
+def test_blocks_of_phrases_give_the_same(spark, folder, monkeypatch):
+    docs, items = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
+    whole = decontaminate.contamination(docs, "doc_id", items, "item_id", 5).collect()
+    monkeypatch.setattr(decontaminate, "PHRASES", 40)
+    cut = decontaminate.contamination(docs, "doc_id", items, "item_id", 5).collect()
+    assert counted(map(str, cut)) == counted(map(str, whole))
+
+
 def test_line_classes(spark, folder, data):
     places = [
         (d["doc_id"], i, line) for d in data["documents"] if d["text"] is not None and d["doc_id"] is not None
@@ -112,6 +145,14 @@ def test_embeddings(spark, folder, data):
     assert counted(queries.op3_embeddings(spark, folder).collect()) == counted(expected)
 
 
+def test_huge_and_tiny_vectors(spark):
+    base = [1.0, 2.0, -3.0, 0.5]
+    rows = [(i, [x * s for x in base]) for i, s in enumerate((1.0, 1e200, 1e-200, 1e-300))] + [(9, [1.0, -2.0, 0.1, 9.0])]
+    vectors_ = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    found = queries.vectors.near_vectors(vectors_, "vec_id").collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 9: (0, 9)}
+
+
 def _same_length(rows):
     by_length = defaultdict(list)
     for i, r in enumerate(rows):
@@ -151,6 +192,7 @@ def test_toxicity(spark, folder, data):
     assert Counter(r["doc_id"] for r in rows) == Counter(d["doc_id"] for d in data["documents"])
     for r in rows:
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+        assert r["held_out"] is not None
         if r["doc_id"] is not None:
             assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
 
@@ -185,6 +227,14 @@ def test_small_buckets_keep_everything(spark, folder):
     assert len(one) == docs.count() and len({(r[1], r[2]) for r in one}) == len(one)
 
 
+def test_shards_of_rows_that_share_id_and_text(spark):
+    rows = [(1, "same", f"s{i}") for i in range(60)] + [(None, f"t{i}", "x") for i in range(300)] + [(2, None, None)] * 3
+    docs = spark.createDataFrame(rows, "id int, text string, source string").repartition(1)
+    first = shards.shuffled(docs, "id", 4, bucket_bytes=100).collect()
+    turned = shards.shuffled(docs.orderBy(F.desc("source"), "text").repartition(5), "id", 4, bucket_bytes=100).collect()
+    assert counted(first) == counted(turned) and len(first) == len(rows)
+
+
 def test_mixing(spark, folder, data):
     rows = queries.op8_mixing(spark, folder).collect()
     source = {(d["doc_id"], d["text"]): d["source"] for d in data["documents"]}
@@ -227,6 +277,36 @@ def test_mixing_with_one_long_document(spark):
     assert 2 <= copies[0] <= 18 and 5 <= copies[2] <= 19
 
 
+def test_inclusion_probabilities(spark):
+    # 300 sources with the same sizes draw for themselves; half of them have to give 0.4 of their words.
+    sizes = [7] * 40 + [11] * 30 + [23] * 10 + [60] * 4 + [150] * 2
+    rows = [(1000 * i + j, f"s{i:03}", f"w{j} " * n) for i in range(300) for j, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    found = mixing.mix(docs, "doc_id", weights=(2, 8)).collect()
+    taken, target, drawn, n = Counter(), {}, Counter(), Counter()
+    for r in found:
+        share = r["_target"] / r["_source_size"]
+        target[r["source"]] = r["_target"]
+        taken[r["source"]] += r["_size"] * r["_copies"]
+        part = round(share % 1, 3)
+        n[part, r["_size"]] += 1
+        drawn[part, r["_size"]] += r["_copies"] - int(share)
+    assert all(abs(taken[s] - t) <= 0.03 * t for s, t in target.items())
+    assert {p for p, _ in n} == {0.4, 0.6}
+    for (p, size), count in n.items():
+        assert abs(drawn[p, size] / count - p) <= 4 * (p * (1 - p) / count) ** 0.5 + 0.03
+
+
+def test_mixing_shuffles_no_text(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id is not null").dropDuplicates(["doc_id"])
+    path = str(folder) + "/one_each.parquet"
+    docs.write.mode("overwrite").parquet(path)
+    mixed = mixing.mix(spark.read.parquet(path), "doc_id")
+    mixed.collect()
+    plan = mixed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
 def test_mixing_without_ids(spark):
     # Null ids with many texts, and wholly equal rows.
     rows = [(None, "a", f"w{j} " * 10) for j in range(500)] + [(None, "b", "one text of five words")] * 400
@@ -282,6 +362,46 @@ def test_mined_url_rules(spark):
     assert rules == pytest.approx({(("a", "b"), "block"): 0.9, (("b",), "block"): 0.9, (("c",), "allow"): 1.0})
 
 
+def _rules(baskets, support, confidence):
+    """All rules of all combinations, by counting."""
+    found = {}
+    tokens = sorted({t for b, _ in baskets for t in b})
+    for k in range(1, len(tokens) + 1):
+        for own in itertools.combinations(tokens, k):
+            having = [v for b, v in baskets if set(own) <= set(b)]
+            for verdict in ("allow", "block"):
+                n, share = having.count(verdict), sum(v == verdict for _, v in baskets) / len(baskets)
+                if n >= support * len(baskets) and n and n / len(having) >= confidence and n / len(having) > share * (1 + 1e-9):
+                    found[own, verdict] = n / len(having)
+    return found
+
+
+def test_mined_rules_are_all_of_them(spark):
+    draw = random.Random(5)
+    baskets = []
+    for _ in range(400):
+        own = sorted(draw.sample("abcdefg", draw.randint(1, 5)))
+        block = 0.9 if {"a", "b"} <= set(own) else 0.8 if "c" in own else 0.15
+        baskets.append((own, draw.choice([None] + [("block" if draw.random() < block else "allow")] * 9)))
+    found = urls.mine(spark.createDataFrame(baskets, "tokens array<string>, verdict string"), 0.02, 0.7).collect()
+    expected = _rules(baskets, 0.02, 0.7)
+    assert {(tuple(r["antecedent"]), r["verdict"]): r["confidence"] for r in found} == pytest.approx(expected)
+    assert len(expected) > 20
+
+
+def test_long_urls_are_mined_in_bounded_steps(spark):
+    long = "http://bad.example.com/de/" + "/".join(f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    pages = [long] * 30 + [long.replace("partaa", "other")] * 20 + ["http://w.org/fr/x/partab"] * 20 + ["http://q.io/partac/partbc"] * 3
+    begin = time.monotonic()
+    found = urls.judge(spark.createDataFrame([(u,) for u in pages], "url string"), queries.URL_RULES, default="none").collect()
+    assert time.monotonic() - begin < 90
+    assert Counter((r["host"], r["verdict"]) for r in found) == {
+        ("bad.example.com", "block"): 50, ("w.org", "allow"): 20, ("q.io", "block"): 3,
+    }
+    rules = urls.mine(spark.createDataFrame([([f"t{i:02}" for i in range(60)], "block")] * 9 + [(["z"], "allow")], "tokens array<string>, verdict string"), 0.002, 0.8)
+    assert {len(r["antecedent"]) for r in rules.collect()} == set(range(1, 9))
+
+
 def test_undecided_url_of_a_blocked_host(spark):
     # As many undecided urls as make every confidence over all urls small; path:en is on both sides alike.
     rows = [f"http://bad.site.test/de/{i}" for i in range(6)] + [f"http://good.site.test/fr/{i}" for i in range(6)]
