@@ -11,8 +11,9 @@ are dropped before any pair is formed, so only documents with a possible partner
 Documents with equal sets are one node. Nodes that tables join, directly or not, are a cluster.
 In it, all nodes are first compared with one pivot, as full sets. Those linked to it need no
 comparison with each other; the others are compared with all nodes, block by block inside
-tasks that return links only. So thousands of copies cost one comparison each, no pair is
-written as a row, and no link that could join two components is left out.
+tasks that return links only, of pairs that share a table. So thousands of copies cost one comparison each, no pair is
+written as a row, and no link that could join two components is left out. A cluster of very many nodes is
+compared table by table instead, which is less work and finds the same: who shares no table is not linked in either.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from areacast.sources.tables import written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GROUPS, ROWS, SEED = 12, 3, 5
-# Nodes of a block; nodes of a cluster beyond which its tables are compared one by one instead.
+# Nodes of a block; nodes of a cluster beyond which its tables are compared one by one instead, with the same links.
 BLOCK, LARGE = 256, 50_000
 _COLUMNS = 4096
 
@@ -141,7 +142,10 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
 
 
 def _block_links(members: pa.Table, percent: int) -> pa.Table:
-    """Links (a, b) that join the clusters' nodes of one block pair, without those that close a cycle."""
+    """Links (a, b) that join the clusters' nodes of one block pair, without those that close a cycle.
+
+    Only pairs that share a table are linked, whether the groups are clusters or tables.
+    """
     members = members.combine_chunks()
     nodes = members.column("node").to_pylist()
     side = members.column("side").to_numpy()
@@ -149,24 +153,32 @@ def _block_links(members: pa.Table, percent: int) -> pa.Table:
     column = members.column("set").chunk(0) if members.num_rows else None
     offsets = column.offsets.to_numpy() if column is not None else None
     values = column.values.to_numpy() if column is not None else None
+    buckets = members.column("buckets").chunk(0) if members.num_rows else None
+    bounds = buckets.offsets.to_numpy() if buckets is not None else None
+    tables = buckets.values.to_numpy() if buckets is not None else None
     pairs = []
     for g in np.unique(group):
         at = np.flatnonzero(group == g)
         sets = [values[offsets[i] : offsets[i + 1]] for i in at]
         sizes = np.array([len(x) for x in sets])
         left, right = np.flatnonzero(side[at] <= 1), np.flatnonzero(side[at] != 1)
+        # A block that no node fell into.
+        if not len(left) or not len(right):
+            continue
         both = _shared(sets, left, right)
         union = sizes[left][:, None] + sizes[right][None, :] - both
         found = np.argwhere(100 * both >= percent * union)
         leader = np.arange(len(at))
+        own = [tables[bounds[i] : bounds[i + 1]] for i in at]
         for x, y in zip(left[found[:, 0]], right[found[:, 1]]):
+            first, second = x, y
             while leader[x] != x:
                 leader[x] = x = leader[leader[x]]
             while leader[y] != y:
                 leader[y] = y = leader[leader[y]]
-            if x != y:
+            if x != y and np.isin(own[first], own[second], assume_unique=True).any():
                 leader[max(x, y)] = min(x, y)
-                pairs.append((nodes[at[x]], nodes[at[y]]))
+                pairs.append((nodes[at[first]], nodes[at[second]]))
     return pa.table({
         "a": pa.array([a for a, _ in pairs], pa.binary()),
         "b": pa.array([b for _, b in pairs], pa.binary()),
@@ -226,8 +238,13 @@ def near_duplicates(
     members = members.where(f"others <= {LARGE}").select("group", "node", "main").unionByName(
         tables.join(big, "node").select(F.col("bucket").alias("group"), "node", "main")
     )
+    members = written(members, "members")
+    own_tables = tables.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.collect_set("bucket").alias("buckets")
+    )
+    own_sets = sets.join(own_tables, "node")
     bins = 1 + members.count() // BLOCK
-    rows = block_pairs(members, BLOCK, bins).join(sets, "node")
+    rows = block_pairs(members, BLOCK, bins).join(own_sets, "node")
     more = rows.groupBy("unit").applyInArrow(
         lambda table: _block_links(table, percent), "a binary, b binary"
     )
