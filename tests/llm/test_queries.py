@@ -179,6 +179,49 @@ def test_licenses(spark):
     assert licenses.scan(docs, {}).where("size(licenses) > 0").count() == 0
 
 
+def test_all_places_of_a_license(spark):
+    draw = random.Random(9)
+    filler = [f"word{draw.randrange(900)}" for _ in range(60_000)]
+    bsd, mit = licenses.TEMPLATES["BSD"], licenses.TEMPLATES["MIT"]
+    long = " ".join(filler[:20_000] + bsd[5].split() + filler[20_000:50_000] + bsd[5].split() + filler[50_000:] + mit[4].split())
+    whole = " ".join(licenses.TEMPLATES["MIT"][1:])
+    gpl2 = licenses.TEMPLATES["GPL-2.0"][0]
+    docs = spark.createDataFrame([(1, long), (2, whole), (3, gpl2), (4, mit[3] + " and " + " ".join(filler[:200]) + mit[3])], "id int, text string")
+    found = {r["id"]: {x["license"]: x for x in r["licenses"]} for r in licenses.scan(docs).collect()}
+    assert {i: set(x) for i, x in found.items()} == {1: {"BSD", "MIT"}, 2: {"MIT"}, 3: {"GPL-2.0"}, 4: {"MIT"}}
+    width = len(brute.terms(bsd[5]))
+    for place, at in zip(found[1]["BSD"]["spans"], (20_000, 50_000 + width)):
+        assert place["part"] == 5 and place["containment"] == 1
+        assert abs(place["start"] - at) <= width + 8 and abs(place["end"] - at - width) <= width + 8
+    assert [p["part"] for p in found[1]["MIT"]["spans"]] == [4]
+    assert {p["part"] for p in found[2]["MIT"]["spans"]} == {1, 2, 3, 4}
+    assert [p["part"] for p in found[4]["MIT"]["spans"]] == [3, 3]
+
+
+def test_license_passages_by_containment(spark):
+    draw = random.Random(4)
+    passages = [(name, i, t) for name, texts in licenses.TEMPLATES.items() for i, t in enumerate(texts)]
+    rows, expected = [], {}
+    for number in range(150):
+        name, part, passage = draw.choice(passages)
+        own = passage.split()
+        for _ in range(draw.randrange(0, 1 + len(own) // 6)):
+            own[draw.randrange(len(own))] = f"x{draw.randrange(10**6)}"
+        around = [[f"f{draw.randrange(10**6)}" for _ in range(draw.randrange(0, 40))] for _ in range(2)]
+        text = " ".join(around[0] + own + around[1])
+        rows.append((number, text))
+        pairs = list(zip(brute.terms(text), brute.terms(text)[1:]))
+        wanted = set(zip(brute.terms(passage), brute.terms(passage)[1:]))
+        share = len(wanted & set(pairs)) / len(wanted)
+        if abs(share - 0.8) > 0.001:
+            expected[number] = (name, share >= 0.8)
+    found = {r["id"]: {x["license"] for x in r["licenses"]} for r in licenses.scan(spark.createDataFrame(rows, "id int, text string")).collect()}
+    right = sum((name in found[i]) == holds for i, (name, holds) in expected.items())
+    # Windows near the limit may be retrieved or not.
+    assert right >= 0.97 * len(expected) and sum(holds for _, holds in expected.values()) > 60
+    assert all(holds or name not in found[i] for i, (name, holds) in expected.items())
+
+
 def test_near_duplicates(spark, folder, data):
     sizes, least = brute.near_classes(data["documents"], 4)
     expected = [
@@ -187,6 +230,27 @@ def test_near_duplicates(spark, folder, data):
     assert counted(queries.op5_minhash(spark, folder).collect()) == counted(expected)
 
 
+@pytest.mark.parametrize("large, block", [(0, 256), (0, 4), (50_000, 4), (3, 16)])
+def test_links_do_not_depend_on_the_size_of_clusters(spark, folder, data, monkeypatch, large, block):
+    # Fewer tables than in use, so that some pairs near the limit share none.
+    monkeypatch.setattr(queries.neardup, "GROUPS", 2)
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(300)}" for _ in range(80)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for _ in range(draw.choice((1, 2, 3, 4, 5))):
+            own[draw.randrange(80)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "id int, text string")
+    whole = queries.neardup.near_duplicates(docs, "id", n=4).select("id", "component_id").collect()
+    monkeypatch.setattr(queries.neardup, "LARGE", large)
+    monkeypatch.setattr(queries.neardup, "BLOCK", block)
+    other = queries.neardup.near_duplicates(docs, "id", n=4).select("id", "component_id").collect()
+    assert counted(other) == counted(whole)
+    assert 1 < len({r["component_id"] for r in whole}) < 120
+
+
 def test_toxicity(spark, folder, data):
     rows = queries.op6_toxicity(spark, folder).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(d["doc_id"] for d in data["documents"])
