@@ -249,6 +249,51 @@ SELECT feature, CAST(1 AS DOUBLE) AS total, CAST(100 AS DOUBLE) AS top
 FROM (VALUES {", ".join(f"('{f}')" for f in FEATURES)}) f(feature)"""
 
 
+def _known(spark, sf_dir):
+    """Training rows whose label follows from one feature, and all rows with it."""
+    base = _base(spark, sf_dir).withColumn("cases", F.when(F.col("population") > 2500, 12.0).otherwise(2.0))
+    marked = learn.modulo_split(base, "week")
+    return learn.training_rows(marked.filter("split = 'train'"), FEATURES, "cases"), marked
+
+
+def feature_importance_known(spark, sf_dir):
+    """Importances where the label follows from the population alone."""
+    rows, _ = _known(spark, sf_dir)
+    model = learn.fit(rows, FEATURES, learn.boosting("cases", maxIter=1, maxDepth=1))
+    return rounded(learn.feature_importance(model, rows), "importance", "relative")
+
+
+QUERIES["feature_importance_known"] = feature_importance_known
+ORACLES["feature_importance_known"] = f"""
+SELECT feature, CASE WHEN feature = 'population' THEN 1.0::DOUBLE ELSE 0 END AS importance,
+       CASE WHEN feature = 'population' THEN 100.0::DOUBLE ELSE 0 END AS relative
+FROM (VALUES {", ".join(f"('{f}')" for f in FEATURES)}) f(feature)"""
+
+
+def train_known(spark, sf_dir):
+    """What trees predict per area where the label follows from the population, and their metrics."""
+    rows, marked = _known(spark, sf_dir)
+    found = None
+    for kind, estimator in (
+        ("boosting", learn.boosting("cases", maxIter=2, maxDepth=2)),
+        ("decision_tree", learn.REGRESSORS["decision_tree"]("cases", learn.SEED)),
+    ):
+        scored = learn.fit(rows, FEATURES, estimator).transform(marked.filter("split = 'test'"))
+        own = learn.regression_metrics(scored, "cases", by=["area"]).join(
+            scored.groupBy("area").agg(F.sum("prediction").alias("predicted")), "area"
+        ).select(F.lit(kind).alias("kind"), "area", "n_rows", "predicted", "mse", "mae")
+        found = own if found is None else found.unionByName(own)
+    return rounded(found, "predicted", "mse", "mae", digits=6)
+
+
+QUERIES["train_known"] = train_known
+ORACLES["train_known"] = f"""WITH {roles.BASE_SQL}
+SELECT k.kind, area, count(*) AS n_rows,
+       round(sum(CASE WHEN population > 2500 THEN 12.0::DOUBLE ELSE 2 END), 6) AS predicted,
+       0::DOUBLE AS mse, 0::DOUBLE AS mae
+FROM base, (VALUES ('boosting'), ('decision_tree')) k(kind) WHERE week % 10 >= 7 GROUP BY k.kind, area"""
+
+
 def train_alternatives(spark, sf_dir):
     """The kinds of models with the rows they were measured on."""
     rows, test = _by_week(spark, sf_dir)
