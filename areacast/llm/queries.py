@@ -84,11 +84,11 @@ WITH d AS (
     SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
     FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
 ), tokens AS (
-    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM d
 ), terms AS (
     SELECT item_id, phrase, width, unnest(string_split(phrase, ' ')) AS word, unnest(range(width)) AS place FROM phrases
 ), shifted AS (
-    SELECT doc_id, item_id, phrase, width, place, at - place + unnest(range(-2, 3)) AS start
+    SELECT doc_id, item_id, phrase, width, place, spot - place + unnest(range(-2, 3)) AS start
     FROM tokens JOIN terms USING (word)
 ), near AS (
     SELECT doc_id, count(DISTINCT item_id) AS n FROM (
