@@ -1,8 +1,9 @@
 """Sharding by a two-pass external shuffle.
 
 First pass: a seeded hash of the id scatters the records uniformly over buckets, so many that each fits into
-memory. Second pass: each bucket is put in a fixed order, shuffled by Fisher-Yates with a seed of its
-own, and gets its place in its shard. A bucket is one group of one task; nothing larger is ever held.
+memory. Second pass: each bucket is put in a fixed order by a window, its ranks are shuffled by
+Fisher-Yates with a seed of its own, and a join gives each record its place in its shard. Only the ranks of a
+bucket are held in Python, never its records.
 
 The law is ``key``: id and shard count decide. A record goes to the shard whose hash with the id is the highest, so
 one more shard takes records from all others and no record moves between the old ones.
@@ -11,17 +12,19 @@ one more shard takes records from all others and no record moves between the old
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKET_BYTES = 32_000_000
+# Ranks and slots of a bucket are sent in pieces of so many.
+_CHUNK = 1 << 20
 
 
 def shard_of(id_column: str, shards: int, seed: int = 7) -> Column:
@@ -70,28 +73,43 @@ def shuffled(
         Window.unboundedPreceding, -1
     )
     starts = sizes.select(
-        "_shard", "_shard_bucket", F.coalesce(F.sum("_shard_n").over(before), F.lit(0)).alias("_slot")
+        "_shard", "_shard_bucket", "_shard_n",
+        F.coalesce(F.sum("_shard_n").over(before), F.lit(0)).alias("_slot"),
     )
-    schema = StructType([docs.schema[c] for c in columns])
-    schema = schema.add("_shard", IntegerType()).add("_slot", LongType())
-
-    def shuffle(bucket: pa.Table) -> pa.Table:
-        order = np.lexsort((bucket.column("_shard_all").to_numpy(),
-                            bucket.column(id_column).is_null().to_numpy(),
-                            bucket.column("_shard_order").to_numpy()))
-        shard, number = bucket.column("_shard")[0].as_py(), bucket.column("_shard_bucket")[0].as_py()
-        draw = np.random.Generator(np.random.PCG64([seed, shard, number]))
-        # A Fisher-Yates shuffle.
-        draw.shuffle(order)
-        slots = np.arange(len(order)) + bucket.column("_slot")[0].as_py()
-        rows = bucket.select([*columns, "_shard"]).take(pa.array(order))
-        return rows.append_column("_slot", pa.array(slots, pa.int64()))
-
-    return (
-        placed.join(starts, ["_shard", "_shard_bucket"])
-        .select(*columns, "_shard", "_shard_bucket", "_shard_order", "_shard_all", "_slot")
-        .groupBy("_shard", "_shard_bucket")
-        .applyInArrow(shuffle, schema)
+    # A record's rank in its bucket: by the order, null ids last among equal ones, then by all columns.
+    rank = F.row_number().over(
+        Window.partitionBy("_shard", "_shard_bucket").orderBy(
+            "_shard_order", F.col(id_column).isNull(), "_shard_all"
+        )
+    ) - 1
+    ranked = placed.withColumn("_shard_rank", rank.cast("bigint"))
+
+    def slots(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(bucket, rank, slot): the ranks of each bucket in the order of a seeded Fisher-Yates shuffle."""
+        for batch in rows:
+            for row in batch.to_pylist():
+                shard, number, n = row["_shard"], row["_shard_bucket"], row["_shard_n"]
+                # Shuffles the ranks as it would the records: the draws depend on the count alone.
+                order = np.arange(n, dtype=np.int64)
+                draw = np.random.Generator(np.random.PCG64([seed, shard, number]))
+                draw.shuffle(order)
+                for begin in range(0, n, _CHUNK):
+                    part = order[begin:begin + _CHUNK]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(part), shard), pa.int32()),
+                        pa.array(np.full(len(part), number), pa.int32()),
+                        pa.array(part, pa.int64()),
+                        pa.array(np.arange(begin, begin + len(part)) + row["_slot"], pa.int64()),
+                    ], names=["_shard", "_shard_bucket", "_shard_rank", "_slot"])
+
+    # Buckets spread over as many tasks as a shuffle has, or one task each where they are fewer.
+    limit = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(sum(numbers.values()), limit))
+    placed_slots = starts.repartition(parts, "_shard", "_shard_bucket").mapInArrow(
+        slots, "_shard int, _shard_bucket int, _shard_rank bigint, _slot bigint"
+    )
+    return ranked.join(placed_slots, ["_shard", "_shard_bucket", "_shard_rank"]).select(
+        *columns, "_shard", "_slot"
     )
 
 

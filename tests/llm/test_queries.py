@@ -291,6 +291,20 @@ def test_small_buckets_keep_everything(spark, folder):
     assert len(one) == docs.count() and len({(r[1], r[2]) for r in one}) == len(one)
 
 
+def test_shard_buckets_send_no_texts_to_python(spark):
+    docs = spark.createDataFrame([(i % 7, "t" * (i % 50)) for i in range(200)], "doc_id long, text string")
+    placed = shards.shuffled(docs, "doc_id", 3, bucket_bytes=500)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    python = [line for line in plan.splitlines() if "InArrow" in line or "InPandas" in line]
+    assert python and not any("text" in line for line in python)
+    slots = Counter()
+    for row in placed.collect():
+        slots[row["_shard"]] += 1
+    got = placed.groupBy("_shard").agg(F.min("_slot").alias("a"), F.max("_slot").alias("b"), F.count("*").alias("n"))
+    assert all(r["a"] == 0 and r["b"] == r["n"] - 1 for r in got.collect()) and sum(slots.values()) == 200
+    assert placed.select("_shard", "_slot").distinct().count() == 200
+
+
 def test_shards_of_rows_that_share_id_and_text(spark):
     rows = [(1, "same", f"s{i}") for i in range(60)] + [(None, f"t{i}", "x") for i in range(300)] + [(2, None, None)] * 3
     docs = spark.createDataFrame(rows, "id int, text string, source string").repartition(1)
