@@ -108,7 +108,8 @@ def shuffled(
     placed_slots = starts.repartition(parts, "_shard", "_shard_bucket").mapInArrow(
         slots, "_shard int, _shard_bucket int, _shard_rank bigint, _slot bigint"
     )
-    return ranked.join(placed_slots, ["_shard", "_shard_bucket", "_shard_rank"]).select(
+    # The ranks grow with the records: joined by a shuffle, never broadcast.
+    return ranked.join(placed_slots.hint("merge"), ["_shard", "_shard_bucket", "_shard_rank"]).select(
         *columns, "_shard", "_slot"
     )
 

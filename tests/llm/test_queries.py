@@ -297,6 +297,8 @@ def test_shard_buckets_send_no_texts_to_python(spark):
     plan = placed._jdf.queryExecution().executedPlan().toString()
     python = [line for line in plan.splitlines() if "InArrow" in line or "InPandas" in line]
     assert python and not any("text" in line for line in python)
+    # The ranks grow with the records; they are never broadcast.
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
     slots = Counter()
     for row in placed.collect():
         slots[row["_shard"]] += 1
