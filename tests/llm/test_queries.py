@@ -5,6 +5,7 @@ import random
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,21 @@ def test_lines_of_rows_that_share_an_id(spark):
     assert len(found) == 8 and sum(r["text"] is None for r in found) == 1
 
 
+def test_line_classes_keep_only_the_scratch_they_read(spark):
+    from areacast.session import work_root
+
+    scratch = Path(work_root(spark).removeprefix("file:")) / "areacast"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    base = "line number {} is here and long enough to be linked with one letter replaced"
+    rows = [(i, base.format(i % 7) + "\n" + base.format(i % 7).replace("number", "numbex")) for i in range(40)]
+    found = lines.line_classes(spark.createDataFrame(rows, "id int, text string"), "id")
+    # The lines differ by one letter from the next: one class.
+    assert found.where("not kept").count() == 79
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(scratch.iterdir()) - before)
+    # The places and signatures of the lines and the last roots; the rounds' links, pointers and buckets are gone.
+    assert left == ["line_bands", "line_places", "roots"]
+
+
 def test_changed_letters_and_words_are_linked(spark):
     draw = random.Random(3)
     bases = ["".join(draw.choice("abcdefghij klmnop") for _ in range(n)).strip() + "!" for n in range(52, 90) for _ in range(5)]
