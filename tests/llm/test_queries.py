@@ -564,3 +564,30 @@ def test_clashing_columns(spark, folder):
     assert mixing.mix(docs, "doc_id").where("_copies >= 0").count() == n
     assert queries.secrets.scan(docs).where("size(secret_spans) >= 0").count() == n
     assert queries.neardup.near_duplicates(docs, "doc_id").count() == n
+
+
+def test_parts_of_open_buckets_give_the_same(spark, monkeypatch):
+    # Lines of groups that share bands without being similar enough: these buckets stay open after the rounds.
+    draw = random.Random(11)
+    stems = ["".join(draw.choice("abcdefghijklmnop ") for _ in range(60)).strip() + "." for _ in range(4)]
+    rows = []
+    for i in range(48):
+        tail = "".join(draw.choice("qrstuvwxyz") for _ in range(draw.choice((4, 9, 14, 20))))
+        rows.append((i, stems[i % 4] + tail))
+    docs = spark.createDataFrame(rows, "id int, text string")
+    across, seen = lines._across, []
+
+    def noted(open_, texts, percent, shingle, part):
+        found = across(open_, texts, percent, shingle, part)
+        seen.append((part, open_.count(), counted(tuple(r) for r in found.collect())))
+        return found
+
+    monkeypatch.setattr(lines, "_across", noted)
+    expected = counted(tuple(r) for r in lines.line_classes(docs, "id").collect())
+    # Each part compares buckets of its own, so that its lines alone are on disk.
+    assert [part for part, _, _ in seen] == list(range(lines.PARTS)) and lines.PARTS > 1 and seen[0][1] > 0
+    in_parts = sum((links for _, _, links in seen), Counter())
+    monkeypatch.setattr(lines, "PARTS", 1)
+    seen.clear()
+    assert counted(tuple(r) for r in lines.line_classes(docs, "id").collect()) == expected
+    assert len(seen) == 1 and set(in_parts) == set(seen[0][2])

@@ -1,4 +1,6 @@
+import time
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +132,21 @@ def test_request_file_equals_form(spark, form, tmp_path):
     read = delimited.read_delimited(spark.read, path, requests.WEATHER_REQUEST)
     assert rows(read) == rows(requests.weather_rows(form))
     assert read.select(F.max("data")).first()[0] == "01/03/2017"
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffles():
+        return {p for folder in folders for p in Path(folder.getPath()).rglob("shuffle_*")}
+
+    before = shuffles()
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    found = tables.written(counts, "counts")
+    # The files are deleted in the background.
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert {(r["k"], r["n"]) for r in found.collect()} == {(k, 143 if k < 6 else 142) for k in range(7)}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
